@@ -1,0 +1 @@
+"""Corpusloom: providers."""

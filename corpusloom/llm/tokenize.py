@@ -46,45 +46,73 @@ class Merges:
         self.lookahead = max(map(len, ranks))
         self.inner = {k[i : i + 2] for k in ranks for i in range(len(k) - 1)}
         self._fits: dict[tuple[int, int], bool] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
 
-    def _merge(self, data: bytes) -> list[int]:
-        """Merges by rank on a short string: the definition, used for pairs of items only."""
+    def halves(self, item: int) -> tuple[int, int] | None:
+        """The two items whose merge makes this one; null for a single byte."""
+        if item in self._halves:
+            return self._halves[item]
+        data = self.items[item]
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best = min(((self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))))
-            if best[0] == 1 << 60:
-                break
-            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
-        return [self.ranks[p] for p in parts]
+        while len(parts) > 2:
+            rank, i = min((self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        got = self._halves[item] = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
+        return got
 
     def fits(self, a: int, b: int) -> bool:
-        """Whether two neighbouring items stay as they are, so may follow each other."""
+        """Whether ``b`` may follow ``a``: no merge across their border comes before those within them.
+
+        The merges at the border are undone from the last one back; at each stage the merge
+        of the two items that then touch must not have been due."""
         got = self._fits.get((a, b))
-        if got is None:
-            if len(self._fits) > MEMO_ITEMS:
-                self._fits.clear()
-            got = self._fits[a, b] = self._merge(self.items[a] + self.items[b]) == [a, b]
+        if got is not None:
+            return got
+        if len(self._fits) > MEMO_ITEMS:
+            self._fits.clear()
+        key, due = (a, b), 1 << 60
+        left, right = a, b
+        while True:
+            across = self.ranks.get(self.items[left] + self.items[right])
+            if across is not None and across < due:
+                got = False
+                break
+            x, y = self.halves(left), self.halves(right)
+            if x is None and y is None:
+                got = True
+                break
+            # of equal ranks the merge further left came first, so the right one is undone first
+            if y is None or (x is not None and left > right):
+                due, left = left, x[1]
+            else:
+                due, right = right + 1, y[0]
+        self._fits[key] = got
         return got
 
 
 class Transducer:
-    """One piece of a text, fed byte by byte in blocks; ``feed`` and ``end`` give the ids that are stable."""
+    """One piece of a text, fed in blocks of bytes; ``feed`` and ``end`` give the ids that are stable."""
 
     def __init__(self, merges: Merges):
         self.m = merges
-        self.data = bytearray()  # from the last emitted position on
+        self.data = b""  # from the last emitted position on
         self.last: list[tuple[int, int]] = [(-1, -1)]  # per position: (start of the last token, its id)
         self.before = -1  # id emitted last
 
-    def _step(self) -> None:
-        p, ranks = len(self.last), self.m.ranks
-        for q in range(max(0, p - self.m.lookahead), p):
-            if (t := ranks.get(bytes(self.data[q:p]))) is not None:
-                left = self.last[q][1] if q else self.before
-                if (q == 0 or left >= 0) and (left < 0 or self.m.fits(left, t)):
-                    self.last.append((q, t))
-                    return
-        self.last.append((-1, -1))  # no token ends here
+    def _advance(self) -> None:
+        data, last, get, fits, most = self.data, self.last, self.m.ranks.get, self.m.fits, self.m.lookahead
+        for p in range(len(last), len(data) + 1):
+            found = (-1, -1)  # no token ends here
+            for q in range(p - most if p > most else 0, p):
+                t = get(data[q:p])
+                if t is not None:
+                    left = last[q][1] if q else self.before
+                    if left < 0 and q:
+                        continue
+                    if left < 0 or fits(left, t):
+                        found = (q, t)
+                        break
+            last.append(found)
 
     def _path(self, p: int) -> list[int]:
         out = []
@@ -95,10 +123,11 @@ class Transducer:
 
     def feed(self, block: bytes) -> list[int]:
         out: list[int] = []
-        for x in block:
-            self.data.append(x)
-            self._step()
-            if len(self.data) >= 4 * self.m.lookahead:
+        size = 4 * self.m.lookahead
+        for k in range(0, len(block), size):
+            self.data += block[k : k + size]
+            self._advance()
+            if len(self.data) >= size:
                 out += self._stable()
         return out
 
@@ -115,7 +144,7 @@ class Transducer:
             return []
         ids = [self.last[p][1] for p in shared]
         cut = shared[-1]
-        del self.data[:cut]
+        self.data = self.data[cut:]
         self.last = [(-1, -1)] + [(q - cut, t) if q >= cut else (-1, -1) for q, t in self.last[cut + 1 :]]
         self.before = ids[-1]
         return ids

@@ -3,11 +3,39 @@
 from __future__ import annotations
 
 from ..session import table
-from . import packing, tokenize
+from . import packing, set_join, term_counts, tokenize
 
 QUERIES = {
+    "p2_counts": lambda s, d: term_counts.motif_counts(table(s, d, "fragment_features")),
+    "p2_found": lambda s, d: term_counts.motif_counts(table(s, d, "fragment_features")).filter("mark is not null").select("tmi_code", "mark"),
+    "p7_classes": lambda s, d: set_join.set_classes(table(s, d, "fragment_features")),
+    "p7_found": lambda s, d: set_join.similar_records(table(s, d, "fragment_features")),
     "p8_ids": lambda s, d: tokenize.encode(table(s, d, "documents")),
     "p9_pack": lambda s, d: packing.pack_documents(table(s, d, "documents"), table(s, d, "container_sizes")),
     "p9_report": lambda s, d: packing.fill_report(packing.pack_documents(table(s, d, "documents"), table(s, d, "container_sizes"))),
 }
-ORACLES = {}
+
+_CODE = r"upper(regexp_replace(x,'\s+','','g'))"
+_TMI = rf"CASE WHEN regexp_matches({_CODE}, '^[A-Z]\d') THEN 'TMI-' || {_CODE} WHEN {_CODE} = '' THEN NULL ELSE regexp_replace({_CODE}, '^TMI-?', 'TMI-') END"
+_PROPP = rf"CASE WHEN {_CODE} = '' THEN NULL ELSE regexp_replace({_CODE}, '^(PROPP-?)?', 'PROPP-') END"
+_COUNTS = rf"""
+WITH one AS (SELECT feature_id, min(tmi_codes) AS a FROM fragment_features GROUP BY 1),
+t AS (SELECT feature_id, {_TMI} AS tmi_code FROM (SELECT feature_id, unnest(a) AS x FROM one)),
+c AS (SELECT tmi_code, CAST(count(*) AS BIGINT) AS n_occurrences, CAST(count(DISTINCT feature_id) AS BIGINT) AS n_records FROM t WHERE tmi_code IS NOT NULL GROUP BY 1)
+SELECT tmi_code, n_occurrences, n_records,
+  CASE WHEN n_records < 3 THEN 'rare' WHEN n_records > 0.1 * (SELECT count(*) FROM one) THEN 'common' END AS mark FROM c
+"""
+_PAIRS = rf"""
+WITH t AS (
+  SELECT feature_id AS id, {_TMI} AS code FROM (SELECT feature_id, unnest(tmi_codes) AS x FROM fragment_features)
+  UNION SELECT feature_id, {_PROPP} FROM (SELECT feature_id, unnest(propp_codes) AS x FROM fragment_features)),
+s AS (SELECT * FROM t WHERE code IS NOT NULL),
+n AS (SELECT id, count(*) AS n FROM s GROUP BY 1),
+b AS (SELECT x.id AS a, y.id AS b, count(*) AS k FROM s x JOIN s y ON x.code = y.code AND x.id < y.id GROUP BY ALL)
+SELECT a AS feature_id_a, b AS feature_id_b FROM b JOIN n p ON p.id = a JOIN n q ON q.id = b WHERE k >= 0.6 * (p.n + q.n - k)
+"""
+ORACLES = {
+    "p2_counts": _COUNTS,
+    "p2_found": f"SELECT tmi_code, mark FROM ({_COUNTS}) WHERE mark IS NOT NULL",
+    "p7_found": _PAIRS,
+}

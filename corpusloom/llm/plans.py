@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from ..session import table
-from . import packing, set_join, term_counts, tokenize
+from . import mojibake, packing, set_join, term_counts, tokenize
 
 QUERIES = {
     "p2_counts": lambda s, d: term_counts.motif_counts(table(s, d, "fragment_features")),
     "p2_found": lambda s, d: term_counts.motif_counts(table(s, d, "fragment_features")).filter("mark is not null").select("tmi_code", "mark"),
     "p7_classes": lambda s, d: set_join.set_classes(table(s, d, "fragment_features")),
     "p7_found": lambda s, d: set_join.similar_records(table(s, d, "fragment_features")),
+    "p10_found": lambda s, d: mojibake.repair_documents(table(s, d, "documents")).select("doc_id"),
+    "p10_repair": lambda s, d: mojibake.repair_documents(table(s, d, "documents")),
     "p8_ids": lambda s, d: tokenize.encode(table(s, d, "documents")),
     "p9_pack": lambda s, d: packing.pack_documents(table(s, d, "documents"), table(s, d, "container_sizes")),
     "p9_report": lambda s, d: packing.fill_report(packing.pack_documents(table(s, d, "documents"), table(s, d, "container_sizes"))),

@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 from ..session import table
-from . import mojibake, packing, set_join, term_counts, tokenize
+from . import mojibake, packing, set_join, term_counts, tokenize, truncation
+
+
+def _truncation(s, d):
+    return truncation.score_truncation(table(s, d, "fragment_content"), table(s, d, "ingestion_reports"))
+
 
 QUERIES = {
+    "p1_found": lambda s, d: _truncation(s, d).filter("cut").select("content_id"),
+    "p1_report": lambda s, d: truncation.truncation_report(_truncation(s, d)),
     "p2_counts": lambda s, d: term_counts.motif_counts(table(s, d, "fragment_features")),
     "p2_found": lambda s, d: term_counts.motif_counts(table(s, d, "fragment_features")).filter("mark is not null").select("tmi_code", "mark"),
     "p7_classes": lambda s, d: set_join.set_classes(table(s, d, "fragment_features")),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import table
-from . import mojibake, packing, set_join, term_counts, tokenize, truncation
+from . import mojibake, packing, sentences, set_join, term_counts, tokenize, truncation
 
 
 def _truncation(s, d):
@@ -15,6 +15,8 @@ QUERIES = {
     "p1_report": lambda s, d: truncation.truncation_report(_truncation(s, d)),
     "p2_counts": lambda s, d: term_counts.motif_counts(table(s, d, "fragment_features")),
     "p2_found": lambda s, d: term_counts.motif_counts(table(s, d, "fragment_features")).filter("mark is not null").select("tmi_code", "mark"),
+    "p6_found": lambda s, d: sentences.segment(table(s, d, "fragment_content"), ["scholaria"]).select("content_id", "char_start", "char_end"),
+    "p6_sentences": lambda s, d: sentences.segment(table(s, d, "fragment_content")),
     "p7_classes": lambda s, d: set_join.set_classes(table(s, d, "fragment_features")),
     "p7_found": lambda s, d: set_join.similar_records(table(s, d, "fragment_features")),
     "p10_found": lambda s, d: mojibake.repair_documents(table(s, d, "documents")).select("doc_id"),

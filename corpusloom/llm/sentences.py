@@ -3,9 +3,9 @@
 Between words a text may hide the event "boundary". Slots where it may stand are those after a
 closing mark, at line ends and, in scripts without stops, at white space. The model gives the
 probability of the event after the words before it, of the words after it with and without the
-event, and of the gap (space, double space, line or paragraph break). It is trained by
-expectation-maximisation on slot counts of the whole corpus: texts' starts and ends are sure
-boundaries, and breaks are likelier at boundaries. Forward-backward posteriors over the slots
+event, and of the gap (a space, or a wider one or paragraph break). It is trained by
+expectation-maximisation on slot counts of the whole corpus, which start from how often each
+context meets a wide gap, for those are far likelier at boundaries. Forward-backward posteriors over the slots
 of a text, with the open quotation or dialogue as state, decide; there the gap is only white
 space and is not used."""
 
@@ -24,7 +24,7 @@ from ..functions.address import norm_locale
 from ..session import cut
 
 SLOTS = 1 << 17  # hashed model table, whatever the data
-ROUNDS = 12
+ROUNDS = 3
 
 #: Closing marks of scripts; quotation pairs by language; scripts that set no spaces or stops.
 STOPS = ".!?…。！？।॥؟።"
@@ -58,16 +58,19 @@ def _shape(word: str) -> str:
 
 
 class Slot:
-    """A place that may hide a boundary: its offsets and what the model sees of it."""
+    """A place that may hide a boundary: its offsets and what the model sees of it.
 
-    __slots__ = ("dash", "end", "gap", "left", "right", "sure", "start")
+    ``dash``: 0 none follows, 1 one and then lower case, 2 one and then anything else.
+    ``sure``: -1 never a boundary."""
 
-    def __init__(self, end: int, start: int, left: tuple[str, ...], right: tuple[str, ...], gap: str, dash: bool, sure: int):
-        self.end, self.start, self.left, self.right, self.gap, self.dash, self.sure = end, start, left, right, gap, dash, sure
+    __slots__ = ("dash", "end", "gap", "left", "quoted", "right", "start", "sure")
+
+    def __init__(self, end: int, start: int, left: tuple[str, ...], right: tuple[str, ...], gap: str, dash: int, sure: int, quoted: bool = False):
+        self.end, self.start, self.left, self.right, self.gap, self.dash, self.sure, self.quoted = end, start, left, right, gap, dash, sure, quoted
 
 
 def _gap(ws: str) -> str:
-    return "para" if ws.count("\n") > 1 else "line" if "\n" in ws else "wide" if len(ws) > 1 else "space" if ws else "none"
+    return "wide" if ws.count("\n") > 1 else "line" if "\n" in ws else "wide" if len(ws) > 1 else "space"
 
 
 _SAYS = re.compile(r"[^\s。！？।॥.!?؟，、,]+(?=[。！？।॥.!?؟]|$)")
@@ -102,6 +105,7 @@ def slots(text: str, lang: str) -> list[Slot]:
         if "\n\n" in gap:
             depth = 0
         at = end
+        sure = 0
         # words beside the slot
         if tight:
             mark = m.group(0).strip() if text[m.start()] != "\n" else text[end - 1]
@@ -110,8 +114,11 @@ def slots(text: str, lang: str) -> list[Slot]:
             clause = text[start : stop.start() if stop else n]
             nxt, tail = clause[:1], clause[-1:]
             prev = text[max(0, end - len(mark) - 1) : end - len(mark)]
-            lk = (f"L{left}", f"l{prev}{left}", f"c{left[-1:]}")
-            rk = (f"T{tail}|{left[-1:]}", f"R{nxt}|{left[-1:]}", f"s{'short' if len(clause) < 9 else 'long'}|{left[-1:]}")
+            mark = left[-1:]
+            quoted = mark in closes
+            lk = (f"l{prev}{left}", f"L{left}", f"c{mark}")
+            rk = (f"T{tail}|{mark}" if quoted else "", f"R{nxt}|{mark}", f"s|{mark}")
+            dash = 0
         else:
             a = max(text.rfind(" ", 0, end), text.rfind("\n", 0, end)) + 1
             word = text[a:end]
@@ -120,30 +127,36 @@ def slots(text: str, lang: str) -> list[Slot]:
             nxt = mm.group(0) if mm else ""
             core = word.rstrip(CLOSE)
             close = word[len(core) :]
-            mark = (core[-1:] if core[-1:] in STOPS + ";·" else "") + ("q" if close[:1] in closes and close else ")" if close else "")
+            quoted = close[:1] != "" and close[:1] in closes
+            mark = (core[-1:] if core[-1:] in STOPS + ";·" else "") + ("q" if quoted else ")" if close else "")
             shape, rshape = _shape(word), _shape(nxt)
+            dash = 0
             if rshape == "dash":
                 after = _WORD.match(text, mm.end() + 1) if mm else None
                 rshape = "dash" + _shape(after.group(0) if after else "")
+                dash = 1 if rshape == "dashlower" else 2
             if bare:
                 mark = ("num" if word[-1:].isdigit() else "q" if word[-1:] in closes else "abbr" if word.endswith(".") else "") + "|" + (
                     "num" if nxt[:1].isdigit() else "ditto" if nxt.startswith("ฯ") else "open" if nxt[:1] in opens else ""
                 )
-                lk = (f"M{mark}", f"W{word[-6:]}|{mark}", f"c{mark}")
-                rk = (f"N{nxt[:4]}|{mark}", f"S|{mark}", f"s|{mark}")
+                lk = (f"W{word[-4:]}|{mark}", f"M|{mark}", f"c{mark}")
+                rk = ("", f"N{nxt[:3]}|{mark}", f"s|{mark}")
+                before, _, behind = mark.partition("|")
+                if behind in ("num", "ditto") or before in ("num", "q"):
+                    sure = -1  # spaces beside numerals, before a closing abbreviation, after a quotation
             else:
-                lex = core if shape not in ("number", "ordinal") else shape
+                lex = core if shape not in ("number", "ordinal") and (len(core) < 8 or "." in core[:-1]) else shape
                 tail = ""
-                if mark.endswith("q"):
+                if quoted:
                     says = _SAYS.search(text, start)
-                    tail = says.group(0) if says else ""
+                    tail = f"T{says.group(0) if says else ''}|{mark}"
+                nw = nxt.rstrip(".,;:!?")
+                kind = shape if shape in ("number", "initial", "ordinal") else "w"
                 lk = (f"W{lex}|{mark}", f"M{shape}|{mark}", f"c{mark}")
-                rk = (f"T{tail}|{mark}", f"N{nxt.rstrip('.,;:!?')}|{shape if shape in ('number', 'initial', 'ordinal') else 'w'}|{mark[-1:]}", f"S{rshape}|{mark}")
-        inside = depth > 0
-        if inside:
-            lk = (*lk, "inside")
-        dash = text[start : start + 1] in "—–"
-        out.append(Slot(end, start, lk, rk, _gap(gap), dash, -1 if inside else 0))
+                rk = (tail, f"N{nw if len(nw) < 10 else rshape}|{kind}|{mark[-1:]}", f"s{rshape}|{kind}|{mark}")
+        if depth > 0:
+            sure = -1
+        out.append(Slot(end, start, lk, rk, _gap(gap), dash, sure, quoted))
     return out
 
 
@@ -151,85 +164,77 @@ def _h(lang: str, name: str) -> int:
     return zlib.crc32(f"{lang}|{name}".encode()) % SLOTS
 
 
-def _bare_sure(s: Slot) -> int:
-    """Scripts without stops: spaces beside numerals, before the closing abbreviation and after a closing quotation lie inside."""
-    mark = s.left[0][1:]
-    left, _, right = mark.partition("|")
-    if right == "num" or right == "ditto" or left in ("num", "q"):
-        return -1
-    return 0
+_KEYS: dict[tuple, tuple[int, ...]] = {}
+
+
+def _hashed(lang: str, s: Slot) -> tuple[int, ...]:
+    """Table slots of a slot's contexts: three of the left side, word to class, and three of the right."""
+    key = (lang, s.left, s.right)
+    got = _KEYS.get(key)
+    if got is None:
+        if len(_KEYS) > 300_000:
+            _KEYS.clear()
+        got = _KEYS[key] = tuple(_h(lang, k) if k else 0 for k in (*s.left, *s.right))
+    return got
+
+
+def _logit(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, 2e-3, 1 - 2e-3)
+    return np.log(p / (1 - p))
 
 
 class Model:
-    """Weights of evidence for a boundary, hashed: log odds by left and right contexts."""
+    """Expected boundaries and slots by hashed context, of the words before and after."""
 
     def __init__(self, left: np.ndarray, right: np.ndarray):
-        # columns: expected boundaries, expected slots
-        self.left, self.right = left, right
-
-    def p_left(self, lang: str, keys: tuple[str, ...], prior: float) -> float:
-        """P(boundary | words before), each finer context backed by the coarser one."""
-        p = prior
-        for k in (keys[2], keys[1], keys[0]):
-            b, n = self.left[_h(lang, k)]
-            p = (b + 3.0 * p) / (n + 3.0)
-        return p
-
-    def lift(self, lang: str, keys: tuple[str, ...]) -> float:
-        """log P(words after | boundary) - log P(words after | none), from class to word."""
-        out, kb, kn = 0.0, 1.0, 1.0
-        for k in (keys[2], keys[1], keys[0]):
-            b, n = self.right[_h(lang, k)]
-            none = n - b
-            # ratio of this context within the coarser one
-            out += np.log((b + 2.0 * kb) / (none + 2.0 * kn)) - np.log(kb / kn)
-            kb, kn = (b + 2.0 * kb), (none + 2.0 * kn)
-            s = kb + kn
-            kb, kn = kb / s, kn / s
-        return out
-
-
-def decide(text: str, lang: str, model, known: dict) -> list[tuple[int, int]]:
-    """Spans of the units of a text: posteriors of the hidden events by forward-backward.
-
-    State: 0 no dialogue; 1, 2, 3 the first speech, its clause and the second speech after dashes."""
-    n = len(text)
-    first = 0
-    while first < n and text[first].isspace():
-        first += 1
-    end = n
-    while end > first and text[end - 1].isspace():
-        end -= 1
-    if first == end:
-        return []
-    body = text[:end]
-    found = slots(body, lang)
-    if not found:
-        return [(first, end)]
-    odds = np.array([_odds(s, lang, model, known) for s in found])
-    p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-    if lang not in UNSPACED and any(s.dash for s in found):
-        p = _dialogue(found, p, body[first] in "—–")
-    elif lang in UNSTOPPED:
-        p = np.array([0.0 if _bare_sure(s) < 0 else x for s, x in zip(found, p)])
-    spans, at = [], first
-    for s, x in zip(found, p):
-        if x > 0.5 and s.end > at:
-            spans.append((at, s.end))
-            at = s.start
-    spans.append((at, end))
-    return spans
+        self.left, self.right = left, right  # (slots, 2): boundaries, all
+
+    def odds(self, keys: np.ndarray, weight: np.ndarray | float = 4.0) -> np.ndarray:
+        """Log odds of a boundary at slots (n, 6) of hashed contexts.
+
+        P(boundary | words before), each finer context smoothed by the coarser one, times the ratio of
+        the words after with and without a boundary, which is their own odds over the closing mark's.
+        ``weight``: slots that a coarser context counts for."""
+
+        def backed(table: np.ndarray, p: np.ndarray, k: np.ndarray) -> np.ndarray:
+            c = table[k]
+            return (c[:, 0] + weight * p) / (c[:, 1] + weight)
+
+        base = backed(self.left, np.full(len(keys), 0.7), keys[:, 2])
+        left = backed(self.left, backed(self.left, base, keys[:, 1]), keys[:, 0])
+        coarse = backed(self.right, base, keys[:, 5])
+        right = backed(self.right, coarse, keys[:, 4])
+        tail = np.where(keys[:, 3] > 0, _logit(backed(self.right, base, keys[:, 3])) - _logit(base), 0.0)
+        return _logit(left) + _logit(right) - _logit(base) + tail
+
+
+def _evidence(wide: Model, keys: np.ndarray, rate: np.ndarray) -> np.ndarray:
+    """Start odds from wide gaps alone: a context that is met often enough and never or hardly ever
+    at one speaks against boundaries; the classes it belongs to speak in the same way."""
+    odds = np.full(len(keys), 2.5)
+    stray = 0.002  # wide gaps elsewhere
+    up, down = np.log(rate / stray), np.log((1 - rate) / (1 - stray))
+    for table, cols in ((wide.left, (0, 1, 2)), (wide.right, (3, 4, 5))):
+        worst = np.zeros(len(keys))
+        for c in cols:
+            k, n = table[keys[:, c]].T
+            worst = np.minimum(worst, np.where(keys[:, c] > 0, k * up + (n - k) * down, 0.0))
+        odds += np.clip(worst + 2.0, -8.0, 0.0)  # few contexts speak against boundaries
+    return odds
 
 
 def _dialogue(found: list[Slot], p: np.ndarray, opened: bool) -> np.ndarray:
-    """Posteriors where a dash goes on with the same speech (states 1 and 2) or starts another (0 and 3)."""
+    """Posteriors by forward-backward where speeches are led by dashes.
+
+    State: 0 no dialogue; 1, 2, 3 the first speech, its clause and the second speech. A dash before
+    lower case goes on; one before a capital goes on after the clause and starts a unit elsewhere."""
     n = len(found)
     stay = np.zeros((n, 4, 4))  # [slot, from, to] without a boundary
     move = np.zeros((n, 4, 4))  # with one
     for i, s in enumerate(found):
         for st in range(4):
             if s.dash:
-                goes_on = 0.97 if st in (1, 2) else 0.03
+                goes_on = 0.98 if s.dash == 1 or s.quoted or st == 2 else 0.03
                 stay[i, st, min(3, st + 1) if st in (1, 2) else st] = goes_on
                 move[i, st, 1] = 1 - goes_on
             else:
@@ -251,114 +256,115 @@ def _dialogue(found: list[Slot], p: np.ndarray, opened: bool) -> np.ndarray:
     return out
 
 
-def _odds(s: Slot, lang: str, model, known: dict) -> float:
-    if s.sure < 0:
-        return -30.0
-    key = (lang, s.left, s.right)
-    got = known.get(key)
-    if got is None:
-        if len(known) > 300_000:
-            known.clear()
-        prior = model.p_left(lang, s.left, 0.6)
-        prior = min(max(prior, 1e-4), 1 - 1e-4)
-        got = known[key] = float(np.log(prior / (1 - prior)) + model.lift(lang, s.right))
-    return got
+def decide(texts: list[str], langs: list[str], model: Model) -> list[list[tuple[int, int]]]:
+    """Spans of the units of each text: the posteriors of the hidden events above one half.
+
+    Slots without dialogue hang together only through what surrounds them, so their posterior is local;
+    texts with dashes run through the states."""
+    found: list[list[Slot]] = []
+    keys: list[tuple[int, ...]] = []
+    for text, lang in zip(texts, langs):
+        x = slots(text.rstrip(), lang)
+        found.append(x)
+        keys.extend(_hashed(lang, s) for s in x)
+    odds = model.odds(np.array(keys, np.int64).reshape(-1, 6))
+    prob = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+    out, at_key = [], 0
+    for text, lang, mine in zip(texts, langs, found):
+        p = prob[at_key : at_key + len(mine)]
+        at_key += len(mine)
+        end = len(text.rstrip())
+        at = len(text) - len(text.lstrip())
+        if at >= end:
+            out.append([])
+            continue
+        p = np.where([s.sure < 0 for s in mine], 0.0, p) if mine else p
+        if any(s.dash for s in mine):
+            p = _dialogue(mine, p, text[at] in "—–")
+        spans = []
+        for s, x in zip(mine, p):
+            if x > 0.5 and s.end > at:
+                spans.append((at, s.end))
+                at = s.start
+        spans.append((at, end))
+        out.append(spans)
+    return out
+
+
+COLS = ["lang", "l0", "l1", "l2", "r0", "r1", "r2", "wide", "n"]
+SCHEMA = "lang string, l0 int, l1 int, l2 int, r0 int, r1 int, r2 int, wide int, n bigint"
 
 
 def _contexts(bodies: DataFrame) -> DataFrame:
-    """Slot counts: (lang, l0, l1, l2, r0, r1, r2, gap, inside, n)."""
+    """Slot counts by hashed contexts and gap. Line ends are left out: they may be mere wraps."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: dict[tuple, int] = {}
         for pdf in batches:
-            rows: dict[tuple, int] = {}
             for text, lang in zip(pdf["body"], pdf["lang"]):
                 for s in slots(text.rstrip(), lang):
-                    if s.dash and lang == "ru":
-                        continue
-                    sure = s.sure or (_bare_sure(s) if lang in UNSTOPPED else 0)
-                    k = (lang, *s.left[:3], *s.right[:3], s.gap, sure)
-                    rows[k] = rows.get(k, 0) + 1
-                # a text's end is a boundary after its last word
-                end = slots(text.rstrip() + "\n\nX", lang)[-1:] if lang not in UNSTOPPED else []
-                for s in end:
-                    k = (lang, *s.left[:3], "", "", "", "end", 1)
-                    rows[k] = rows.get(k, 0) + 1
-            yield pd.DataFrame([(*k, n) for k, n in rows.items()], columns=COLS)
+                    if s.sure == 0 and not s.dash and s.gap != "line":
+                        k = (lang, *_hashed(lang, s), int(s.gap == "wide"))
+                        rows[k] = rows.get(k, 0) + 1
+            if len(rows) > 200_000:
+                yield pd.DataFrame([(*k, n) for k, n in rows.items()], columns=COLS)
+                rows.clear()
+        yield pd.DataFrame([(*k, n) for k, n in rows.items()], columns=COLS)
 
     got = bodies.select("body", "lang").mapInPandas(run, SCHEMA)
     return got.groupBy(*COLS[:-1]).agg(F.sum("n").alias("n"))
 
 
-COLS = ["lang", "l0", "l1", "l2", "r0", "r1", "r2", "gap", "sure", "n"]
-SCHEMA = ", ".join(f"{c} {'int' if c == 'sure' else 'bigint' if c == 'n' else 'string'}" for c in COLS)
-#: Start values: how much likelier a gap is at a boundary (learned from then on).
-GAP0 = {"para": 8.0, "line": 3.0, "wide": 8.0, "space": -0.4, "none": -0.3}
-
+def _expect(contexts: DataFrame, model: Model | None, rates: dict[str, float], first: bool = False) -> Model:
+    """One round: expected boundaries over all contexts, added up in fixed tables.
 
-def _expect(contexts: DataFrame, model, gaps: dict, start: bool) -> tuple[np.ndarray, np.ndarray, dict]:
-    """One round: expected boundaries over all contexts, added up in fixed tables."""
-    b = contexts.sparkSession.sparkContext.broadcast((None if start else (model.left, model.right), gaps))
+    With no model wide gaps are counted; the first round judges by these."""
+    b = contexts.sparkSession.sparkContext.broadcast((None if model is None else (model.left, model.right), rates))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables, gap = b.value
-        m = Model(*tables) if tables is not None else None
-        acc: dict[tuple[str, int], list[float]] = {}
-        known: dict = {}
-
-        def add(kind: str, slot, p: float, n: float) -> None:
-            x = acc.setdefault((kind, slot), [0.0, 0.0])
-            x[0] += p * n
-            x[1] += n
-
+        tables, rate = b.value
+        acc = np.zeros((2, 2, SLOTS))
         for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                left, right = (r.l0, r.l1, r.l2), (r.r0, r.r1, r.r2)
-                if r.sure:
-                    p = 1.0 if r.sure > 0 else 0.0
-                else:
-                    z = gap.get((r.lang, r.gap), GAP0.get(r.gap, 0.0))
-                    if m is None:
-                        lower = "lower" in r.r2 or "|)" in r.l2
-                        z += -4.0 if lower else 0.5
-                        if "initial" in r.l1:
-                            z -= 3.0
-                    else:
-                        z += _odds(Slot(0, 0, left, right, r.gap, False, 0), r.lang, m, known)
-                    p = 1 / (1 + np.exp(-min(max(z, -30), 30)))
-                if r.sure >= 0:
-                    for k in dict.fromkeys(left):
-                        add("l", str(_h(r.lang, k)), p, r.n)
-                if r.sure == 0:
-                    for k in dict.fromkeys(right):
-                        add("r", str(_h(r.lang, k)), p, r.n)
-                    add("g", f"{r.lang}|{r.gap}", p, r.n)
-                    add("g", f"{r.lang}|", p, r.n)
-        yield pd.DataFrame([(k, s, x[0], x[1]) for (k, s), x in acc.items()], columns=["kind", "slot", "b", "n"])
-
-    rows = contexts.mapInPandas(run, "kind string, slot string, b double, n double").groupBy("kind", "slot").agg(F.sum("b").alias("b"), F.sum("n").alias("n")).toPandas()
-    left, right = np.zeros((SLOTS, 2)), np.zeros((SLOTS, 2))
-    for kind, t in (("l", left), ("r", right)):
-        x = rows[rows["kind"] == kind]
-        t[x["slot"].to_numpy().astype(np.int64)] = x[["b", "n"]].to_numpy()
-    g = {k: (b, n) for k, b, n in rows[rows["kind"] == "g"][["slot", "b", "n"]].itertuples(index=False)}
-    new = {}
-    for k, (bb, n) in g.items():
-        lang, _, gap = k.partition("|")
-        if gap:
-            tb, tn = g[f"{lang}|"]
-            # a gap is given less weight than counted, since breaks are only white space
-            x = np.log((bb + 0.5) / (tb + 1)) - np.log((n - bb + 0.5) / (tn - tb + 1))
-            new[lang, gap] = float(np.clip(x, -0.7, 6.0))
-    return left, right, new
+            keys = pdf[COLS[1:7]].to_numpy(np.int64)
+            n, wide = pdf["n"].to_numpy(float), pdf["wide"].to_numpy() > 0
+            r = pdf["lang"].map(rate).to_numpy(float)
+            if tables is None:
+                e = n * wide
+            else:
+                m = Model(*tables)
+                z = (_evidence(m, keys, r) if first else m.odds(keys)) + np.where(wide, 5.0, np.log1p(-np.minimum(r, 0.9)))
+                e = n / (1 + np.exp(-np.clip(z, -30, 30)))
+            for side, cols in ((0, (0, 1, 2)), (1, (3, 4, 5))):
+                for c in cols:
+                    k = keys[:, c]
+                    acc[side, 0] += np.bincount(k, e, minlength=SLOTS)
+                    acc[side, 1] += np.bincount(k, n, minlength=SLOTS)
+        side, at = np.nonzero(acc[:, 1])
+        yield pd.DataFrame({"side": side, "slot": at, "b": acc[side, 0, at], "n": acc[side, 1, at]})
+
+    rows = contexts.mapInPandas(run, "side int, slot int, b double, n double").groupBy("side", "slot").agg(F.sum("b").alias("b"), F.sum("n").alias("n")).toPandas()
+    tables = np.zeros((2, SLOTS, 2))
+    n = rows["n"].to_numpy(float)
+    tables[rows["side"], rows["slot"], 0] = np.minimum(rows["b"].to_numpy(float), n)
+    tables[rows["side"], rows["slot"], 1] = n
+    tables[:, 0] = 0
+    return Model(tables[0], tables[1])
 
 
 def train(bodies: DataFrame, rounds: int = ROUNDS) -> Model:
     """Model of all bodies (body, lang); the tables it collects have a fixed size."""
     contexts = cut(_contexts(bodies))
-    model, gaps = None, {}
+    # the share of wide gaps at boundaries: that of the contexts which meet them most, by language
+    by = contexts.groupBy("lang", "l1").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("wide")).alias("w")).filter("n >= 20")
+    top = by.groupBy("lang").agg(F.expr("percentile(w / n, 0.75, n)").alias("rate"))
+    rates = {r["lang"]: min(0.9, max(0.02, r["rate"])) for r in top.collect()}  # a row a language
+    langs = [r["lang"] for r in contexts.select("lang").distinct().collect()]
+    rates = {g: rates.get(g, 0.2) for g in langs}
+    model = None
     for i in range(rounds):
-        left, right, gaps = _expect(contexts, model, gaps, i == 0)
-        model = Model(left, right)
+        model = _expect(contexts, model, rates, i == 1)
+    if model is None or not rates:
+        model = Model(np.zeros((SLOTS, 2)), np.zeros((SLOTS, 2)))
     return model
 
 
@@ -381,11 +387,12 @@ def segment(content: DataFrame, layers: list[str] | None = None) -> DataFrame:
     todo = one.filter(F.col("layer").isin(layers)) if layers else one
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, known = Model(*b.value), {}
+        model = Model(*b.value)
         for pdf in batches:
             out = []
-            for k, layer, text, lang in zip(pdf["content_id"], pdf["layer"], pdf["body"], pdf["lang"]):
-                out += [(k, layer, i, x, y, text[x:y]) for i, (x, y) in enumerate(decide(text, lang, model, known), 1)]
+            units = decide(pdf["body"].tolist(), pdf["lang"].tolist(), model)
+            for k, layer, text, spans in zip(pdf["content_id"], pdf["layer"], pdf["body"], units):
+                out += [(k, layer, i, x, y, text[x:y]) for i, (x, y) in enumerate(spans, 1)]
             yield pd.DataFrame(out, columns=["content_id", "layer", "sentence_no", "char_start", "char_end", "sentence"])
 
     return todo.select("content_id", "layer", "body", "lang").mapInPandas(

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -40,17 +41,8 @@ def sentences(body: str) -> list[str]:
     return out
 
 
-def words(sentence: str) -> tuple[list[str], list[str], list[str]]:
-    """(lower-case words, numbers, names): a name has a capital and is not the first word or is long."""
-    plain, numbers, names = [], [], []
-    for i, w in enumerate(_TOKEN.findall(sentence)):
-        if w.isdigit():
-            numbers.append(w)
-        else:
-            plain.append(w.lower())
-            if w[0].isupper() and len(w) > 3:
-                names.append(w.lower())
-    return plain, numbers, names
+#: Words that join two statements in one sentence.
+_JOIN = re.compile(r"[;,]\s+|\s(?:and|и)\s")
 
 
 def latin(word: str) -> str:
@@ -58,9 +50,10 @@ def latin(word: str) -> str:
     return re.sub(r"(.)\1", r"\1", w)
 
 
-def _grams(word: str) -> set[str]:
+@lru_cache(100_000)
+def _grams(word: str) -> frozenset[str]:
     w = f"^{latin(word)}$"
-    return {w[i : i + 3] for i in range(len(w) - 2)}
+    return frozenset(w[i : i + 3] for i in range(len(w) - 2))
 
 
 def pairs_of(content: DataFrame, sides: tuple[str, str] = ("en", "ru")) -> DataFrame:
@@ -164,44 +157,94 @@ def _translations(joint: np.ndarray, na: np.ndarray, nb: np.ndarray, total: floa
     return np.column_stack([i, j, phi[i, j]])
 
 
-def similarity(ta: list[str], tb: list[str], va: dict, vb: dict, lex: dict, side: dict) -> tuple[np.ndarray, np.ndarray]:
+class Side:
+    """One body: its distinct tokens with weights, and which sentence and clause holds which."""
+
+    def __init__(self, body: str, index: dict[str, int], idf: list[float]):
+        self.index: dict[str, int] = {}
+        self.token: list[str] = []
+        self.known: list[int] = []
+        self.names: list[int] = []
+        weight: list[float] = []
+        rows: list[list[int]] = []
+        self.owner: list[int] = []  # sentence of each clause
+        for i, sentence in enumerate(sentences(body)):
+            parts = [x for x in _JOIN.split(sentence) if _TOKEN.search(x)] or [sentence]
+            for part in parts:
+                row = []
+                for w in _TOKEN.findall(part):
+                    low = w.lower()
+                    k = self.index.get(low)
+                    if k is None:
+                        v = index.get(low, -1)
+                        number, name = w.isdigit(), w[0].isupper() and len(w) > 3 and v < 0
+                        if v < 0 and not number and not name:
+                            continue
+                        k = self.index[low] = len(self.token)
+                        self.token.append(low)
+                        self.known.append(-2 if number else v)
+                        weight.append(3.0 if v < 0 else idf[v])
+                    if w[0].isupper() and len(w) > 3 and k not in self.names:
+                        self.names.append(k)
+                    row.append(k)
+                rows.append(row)
+                self.owner.append(i)
+        self.weight = np.array(weight)
+        self.n = self.owner[-1] + 1 if self.owner else 0
+        self.clause = np.zeros((len(rows), len(weight)))
+        for r, row in enumerate(rows):
+            self.clause[r, row] = 1
+        self.sentence = np.zeros((self.n, len(weight)))
+        for r, i in enumerate(self.owner):
+            self.sentence[i] = np.maximum(self.sentence[i], self.clause[r])
+
+
+def _match(a: Side, b: Side, lex: dict[int, dict[int, float]]) -> np.ndarray:
+    """How well each token of a is matched by each of b: translation, equal number, like-sounding name."""
+    t = np.zeros((len(a.token), len(b.token)))
+    at = {v: j for j, v in enumerate(b.known) if v >= 0}
+    for i, v in enumerate(a.known):
+        if v >= 0:
+            for w, p in lex.get(v, {}).items():
+                j = at.get(w)
+                if j is not None:
+                    t[i, j] = min(1.0, 1.6 * p)
+        elif v == -2:
+            j = b.index.get(a.token[i])
+            if j is not None:
+                t[i, j] = 1.0
+    for i in a.names:
+        x = _grams(a.token[i])
+        for j in b.names:
+            y = _grams(b.token[j])
+            like = len(x & y) / max(1, min(len(x), len(y)))
+            if like > 0.5:
+                t[i, j] = max(t[i, j], like)
+    return t
+
+
+def _shares(t: np.ndarray, a: Side, b: Side, ma: np.ndarray, mb: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Matched and whole weight of every unit of either side against every unit of the other."""
+    best_a = np.stack([(t * row).max(1) for row in mb], 1)
+    best_b = np.stack([(t * row[:, None]).max(0) for row in ma], 1)
+    got_a = ma @ (a.weight[:, None] * best_a)
+    got_b = (mb @ (b.weight[:, None] * best_b)).T
+    return got_a, got_b, (ma @ a.weight)[:, None] + 1e-9, (mb @ b.weight)[None, :] + 1e-9
+
+
+def similarity(a: Side, b: Side, lex: dict[int, dict[int, float]]) -> tuple[np.ndarray, np.ndarray]:
     """Similarity of every two sentences: translated words, numbers and names, weighted by rarity.
 
-    Also the larger of the shares that each covers of the other: a statement within a merged sentence is
-    covered as a whole, while two statements that only have a place and a verb in common are not."""
-    fa, fb = [words(s) for s in ta], [words(s) for s in tb]
-    out, cover = np.zeros((len(ta), len(tb))), np.zeros((len(ta), len(tb)))
-    ga = [[_grams(w) for w in f[2]] for f in fa]
-    gb = [[_grams(w) for w in f[2]] for f in fb]
-    wa, wb = side["a"], side["b"]
-    ia = [[va[w] for w in dict.fromkeys(f[0]) if w in va] for f in fa]
-    ib = [[vb[w] for w in dict.fromkeys(f[0]) if w in vb] for f in fb]
-    for i in range(len(ta)):
-        for j in range(len(tb)):
-            got, mass = [0.0, 0.0], [1e-9, 1e-9]
-            table = lex
-            # each word meets its best translation on the other side
-            for x, y, flip, weight in ((ia[i], ib[j], False, wa), (ib[j], ia[i], True, wb)):
-                for w in x:
-                    idf = weight[w]
-                    best = 0.0
-                    for v in y:
-                        p = table.get((v, w) if flip else (w, v), 0.0)
-                        if p > best:
-                            best = p
-                    got[flip] += idf * min(1.0, best * 1.6)
-                    mass[flip] += idf
-            na, nb = set(fa[i][1]), set(fb[j][1])
-            for side_no, x in ((0, na), (1, nb)):
-                got[side_no] += 3.0 * len(na & nb)
-                mass[side_no] += 3.0 * len(x)
-            name = 0.0
-            if ga[i] and gb[j]:
-                name = max(len(x & y) / max(1, min(len(x), len(y))) for x in ga[i] for y in gb[j])
-                name = 3.0 * name if name > 0.5 else 0.0
-            out[i, j] = (sum(got) + 2 * name) / sum(mass)
-            cover[i, j] = max(min(1.0, (g + name) / m) for g, m in zip(got, mass))
-    return out, cover
+    Also, of their clauses, the largest share that one covers of the other: a statement within a merged
+    sentence is covered as a whole, while two statements that only have a place and a verb in common are not."""
+    t = _match(a, b, lex)
+    got_a, got_b, all_a, all_b = _shares(t, a, b, a.sentence, b.sentence)
+    sim = (got_a + got_b) / (all_a + all_b)
+    got_a, got_b, all_a, all_b = _shares(t, a, b, a.clause, b.clause)
+    share = np.maximum(got_a / all_a, got_b / all_b)
+    cover = np.zeros_like(sim)
+    np.maximum.at(cover, (np.array(a.owner)[:, None], np.array(b.owner)[None, :]), share)
+    return sim, cover
 
 
 def transport(sim: np.ndarray, steps: int = STEPS, heat: float = HEAT, null: float = NULL) -> np.ndarray:
@@ -227,11 +270,11 @@ def links(ta: str, tb: str, va: dict, vb: dict, lex: dict, side: dict, least: fl
 
     A merged sentence shares its mass among its parts, so an entry counts when it holds a good part of
     what either sentence has and the pair is alike by itself."""
-    sa, sb = sentences(ta), sentences(tb)
-    if not sa or not sb:
+    a, b = Side(ta, va, side["a"]), Side(tb, vb, side["b"])
+    if not a.n or not b.n or not a.token or not b.token:
         return []
-    sim, cover = similarity(sa, sb, va, vb, lex, side)
-    plan = transport(sim)[: len(sa), : len(sb)]
+    sim, cover = similarity(a, b, lex)
+    plan = transport(sim)[: a.n, : b.n]
     strong = (plan >= least) & (sim >= NULL)
     # one side's sentence may cover several of the other: alike enough, and nobody's better match
     top_a, top_b = sim.max(1, keepdims=True), sim.max(0, keepdims=True)
@@ -258,7 +301,9 @@ def align(content: DataFrame, sides: tuple[str, str] = ("en", "ru"), rounds: int
     lex: dict | None = None
     for _ in range(rounds):
         t = _translations(*_cooccurrence(pairs, va, vb, lex, side))
-        lex = {(int(i), int(j)): float(p) for i, j, p in t}
+        lex = {}
+        for i, j, p in t:
+            lex.setdefault(int(i), {})[int(j)] = float(p)
     b = spark.sparkContext.broadcast((va, vb, lex, side))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

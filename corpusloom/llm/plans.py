@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import table
-from . import align, mojibake, packing, sentences, set_join, term_counts, tokenize, truncation
+from . import align, mojibake, ocr, packing, sentences, set_join, term_counts, tokenize, truncation
 
 
 def _truncation(s, d):
@@ -17,6 +17,8 @@ QUERIES = {
     "p2_found": lambda s, d: term_counts.motif_counts(table(s, d, "fragment_features")).filter("mark is not null").select("tmi_code", "mark"),
     "p3_found": lambda s, d: align.align(table(s, d, "fragment_content")).drop("kind"),
     "p3_links": lambda s, d: align.align(table(s, d, "fragment_content")),
+    "p4_found": lambda s, d: ocr.defects(ocr.clean_pages(table(s, d, "fragment_content"), table(s, d, "ingestion_reports"))),
+    "p4_repair": lambda s, d: ocr.repaired(ocr.clean_pages(table(s, d, "fragment_content"), table(s, d, "ingestion_reports"))),
     "p6_found": lambda s, d: sentences.segment(table(s, d, "fragment_content"), ["scholaria"]).select("content_id", "char_start", "char_end"),
     "p6_sentences": lambda s, d: sentences.segment(table(s, d, "fragment_content")),
     "p7_classes": lambda s, d: set_join.set_classes(table(s, d, "fragment_features")),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import orphan_plans
+from . import derive_plans, integrity_plans, orphan_plans, similarity_plans
 
-MODULES = [orphan_plans]
+MODULES = [derive_plans, integrity_plans, orphan_plans, similarity_plans]
 
 
 def queries() -> dict:

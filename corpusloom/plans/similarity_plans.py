@@ -23,7 +23,7 @@ def _notes(s, d):
 
 
 def _parallels(s, d, everything=False, threshold=0.65):
-    return C.parallels(V.vectors(s, d), C.edges(_features(s, d), least=1) if everything else _edges(s, d, 2), threshold, everything)
+    return C.parallels(V.vectors(s, d), _edges(s, d), threshold, everything)
 
 
 def _by_label(s, d):
@@ -76,7 +76,7 @@ e AS (SELECT member_a, member_b, tradition_a, tradition_b, round_even(l,4) AS tm
   chronotope_match, qualifying_dimensions, bakhtin_profile_available, bakhtin_polyphony_delta, bakhtin_carnivalesque_delta FROM q)"""
 _P = rf"""{_E}, u AS (SELECT nas, tradition, list_transform(vector, lambda x: x::DOUBLE) AS v FROM vec WHERE NOT contains(nas,'/lacuna')),
 p AS (SELECT a.nas AS member_a, b.nas AS member_b, a.tradition AS tradition_a, b.tradition AS tradition_b, greatest(0.0, least(1.0, list_cosine_similarity(a.v,b.v))) AS cos FROM u a JOIN u b ON a.tradition < b.tradition),
-k AS (SELECT p.*, e.* EXCLUDE (member_a, member_b, tradition_a, tradition_b), coalesce(qualifying_dimensions,0) AS k FROM p LEFT JOIN (SELECT * FROM e WHERE qualifying_dimensions>=1) e USING (member_a, member_b)),
+k AS (SELECT p.*, e.* EXCLUDE (member_a, member_b, tradition_a, tradition_b), coalesce(qualifying_dimensions,0) AS k FROM p LEFT JOIN (SELECT * FROM e WHERE qualifying_dimensions>=3) e USING (member_a, member_b)),
 par AS (SELECT member_a, member_b, tradition_a, tradition_b, k AS framework_match_count, round_even(cos,4) AS cosine_similarity, round_even(greatest(0.0,least(1.0,0.5*(k/4)+0.5*cos)),4) AS parallel_score,
   greatest(0.0,least(1.0,0.5*(k/4)+0.5*cos)) AS sc, greatest(coalesce(tmi_jaccard_leaf,0),coalesce(tmi_jaccard_branch,0)) AS tmi_score, coalesce(propp_overlap,0) AS propp_score,
   coalesce(chronotope_match,false)::DOUBLE AS chronotope_score, coalesce(bakhtin_polyphony_delta,0) AS polyphony_score FROM k)"""

@@ -121,7 +121,7 @@ def concat_texts(parts: DataFrame) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """YAML or JSON documents, one a file; an empty file gives nulls. YAML needs its optional library."""
+    """YAML or JSON documents, one a file; a blank one gives nulls (one of no bytes is not scanned). YAML needs its optional library."""
     names = [f.name for f in spark.createDataFrame([], ddl).schema]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from ..functions.address import canon_nas, norm_locale
 from ..session import cut
@@ -91,8 +92,11 @@ def _units(text: str, index: dict[str, int]) -> list[list[int]]:
     return [sorted({index[w] for w in (x.lower() for x in _TOKEN.findall(s)) if w in index}) for s in sentences(text)]
 
 
-def _cooccurrence(pairs: DataFrame, va: dict[str, int], vb: dict[str, int], lexicon: np.ndarray | None, side: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Joint and single counts over documents, or over the linked sentences of an alignment."""
+def _cooccurrence(pairs: DataFrame, va: dict[str, int], vb: dict[str, int], lexicon: dict | None, side: dict, keep: int = 8, least: float = 0.08) -> list[tuple[int, int, float]]:
+    """Word pairs (a, b, weight) by the correlation of their occurrences over documents, or over the linked
+    sentences of an alignment; the ``keep`` best of every word on either side.
+
+    The counts stay in the cluster; only pairs of a weight of ``least`` or more come to the driver."""
     sc = pairs.sparkSession.sparkContext
     b = sc.broadcast((va, vb, lexicon, side))
 
@@ -127,34 +131,18 @@ def _cooccurrence(pairs: DataFrame, va: dict[str, int], vb: dict[str, int], lexi
         yield pd.DataFrame({"i": -1, "j": np.arange(len(nb)), "n": nb})
         yield pd.DataFrame({"i": [-1], "j": [-1], "n": [total]})
 
-    rows = pairs.select("body_a", "body_b").mapInPandas(run, "i int, j int, n double").groupBy("i", "j").agg(F.sum("n").alias("n")).toPandas()  # at most VOCABULARY squared, sparse
-    joint, na, nb = np.zeros((len(va), len(vb))), np.zeros(len(va)), np.zeros(len(vb))
-    i, j, n = rows["i"].to_numpy(), rows["j"].to_numpy(), rows["n"].to_numpy()
-    both = (i >= 0) & (j >= 0)
-    joint[i[both], j[both]] = n[both]
-    na[i[(j < 0) & (i >= 0)]] = n[(j < 0) & (i >= 0)]
-    nb[j[(i < 0) & (j >= 0)]] = n[(i < 0) & (j >= 0)]
-    return joint, na, nb, float(n[(i < 0) & (j < 0)].sum())
-
-
-def _translations(joint: np.ndarray, na: np.ndarray, nb: np.ndarray, total: float, keep: int = 8) -> np.ndarray:
-    """Association of each word pair: correlation of their occurrences, the few best of each word kept.
-
-    (n, 3): word of a, word of b, weight."""
-    pa, pb = na / max(total, 1), nb / max(total, 1)
-    sd = np.sqrt(np.outer(pa * (1 - pa), pb * (1 - pb))) + 1e-9
-    phi = (joint / max(total, 1) - np.outer(pa, pb)) / sd
-    phi *= joint / (joint + 2.0)
-    phi[phi < 0.08] = 0
-    if not phi.size:
-        return np.zeros((0, 3))
-    best = np.zeros_like(phi, bool)
-    rows = np.argsort(-phi, 1)[:, :keep]
-    cols = np.argsort(-phi, 0)[:keep]
-    best[np.arange(len(phi))[:, None], rows] = True
-    best[cols, np.arange(phi.shape[1])[None, :]] = True
-    i, j = np.nonzero(best & (phi > 0))
-    return np.column_stack([i, j, phi[i, j]])
+    counts = cut(pairs.select("body_a", "body_b").mapInPandas(run, "i int, j int, n double").groupBy("i", "j").agg(F.sum("n").alias("n")))
+    total = max(1.0, sum(r["n"] for r in counts.filter("i < 0 and j < 0").collect()))
+    # at most VOCABULARY rows each
+    na = F.broadcast(counts.filter("i >= 0 and j < 0").select("i", (F.col("n") / total).alias("pa")))
+    nb = F.broadcast(counts.filter("i < 0 and j >= 0").select("j", (F.col("n") / total).alias("pb")))
+    both = counts.filter("i >= 0 and j >= 0").join(na, "i").join(nb, "j")
+    spread = F.sqrt(F.col("pa") * (1 - F.col("pa")) * F.col("pb") * (1 - F.col("pb"))) + 1e-9
+    phi = (F.col("n") / total - F.col("pa") * F.col("pb")) / spread * F.col("n") / (F.col("n") + 2)
+    strong = both.select("i", "j", phi.alias("p")).filter(F.col("p") >= least)
+    by_a, by_b = (W.partitionBy(k).orderBy(F.desc("p"), o) for k, o in (("i", "j"), ("j", "i")))
+    best = strong.withColumn("ra", F.row_number().over(by_a)).withColumn("rb", F.row_number().over(by_b)).filter((F.col("ra") <= keep) | (F.col("rb") <= keep))
+    return [(r["i"], r["j"], r["p"]) for r in best.select("i", "j", "p").collect()]
 
 
 class Side:
@@ -300,10 +288,10 @@ def align(content: DataFrame, sides: tuple[str, str] = ("en", "ru"), rounds: int
     side = {"a": idf(wa), "b": idf(wb)}
     lex: dict | None = None
     for _ in range(rounds):
-        t = _translations(*_cooccurrence(pairs, va, vb, lex, side))
+        found = _cooccurrence(pairs, va, vb, lex, side)
         lex = {}
-        for i, j, p in t:
-            lex.setdefault(int(i), {})[int(j)] = float(p)
+        for i, j, p in found:
+            lex.setdefault(i, {})[j] = p
     b = spark.sparkContext.broadcast((va, vb, lex, side))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

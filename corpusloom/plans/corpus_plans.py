@@ -114,7 +114,7 @@ QUERIES = {
     "k10_strip_edition": lambda s, d: C.layers(C.strip_edition(V.content(s, d), "en", "translated", "x")).select("nas", F.array_join("layers", "|").alias("layers")),
     "a16_layers": lambda s, d: C.layers(V.content(s, d), "status in ('candidate', 'confirmed')").select("nas", F.array_join("layers", "|").alias("layers")),
     "c13_review_queue": lambda s, d: C.review_queue(V.content(s, d), V.annotations(s, d)),
-    "p7_queue_en": lambda s, d: C.review_queue(V.content(s, d), V.annotations(s, d), "summary", "en").select("record_id", "nas"),
+    "filter7_queue_en": lambda s, d: C.review_queue(V.content(s, d), V.annotations(s, d), "summary", "en").select("record_id", "nas"),
     "c14_decisions": _decided,
     "c15_confirm": _confirm,
     "c16_auto_confirm": lambda s, d: C.auto_confirm(V.annotations(s, d), "^BAKHTIN-(POLYPHONY|CARNIVALESQUE|HETEROGLOSSIA)-").select("annotation_id", "status"),
@@ -152,7 +152,7 @@ ORACLES = {
     "k10_strip_edition": f"{_v} {_lay.format(chr(115) + 'tatus<>' + chr(39) + 'rejected' + chr(39))}",
     "a16_layers": f"{_v} {_lay.format('status IN (' + chr(39) + 'candidate' + chr(39) + ',' + chr(39) + 'confirmed' + chr(39) + ')')}",
     "c13_review_queue": f"{_v} SELECT CASE WHEN layer='surface' THEN 'summary' ELSE layer END AS record_type, content_id AS record_id, nas, locale, layer, NULL::VARCHAR AS track, NULL::VARCHAR AS code FROM cont WHERE status='candidate' UNION ALL SELECT 'annotation', annotation_id, nas, NULL, NULL, track, code FROM ann WHERE status='candidate'",
-    "p7_queue_en": f"{_v} SELECT content_id AS record_id, nas FROM cont WHERE status='candidate' AND layer='surface' AND locale='en'",
+    "filter7_queue_en": f"{_v} SELECT content_id AS record_id, nas FROM cont WHERE status='candidate' AND layer='surface' AND locale='en'",
     "c14_decisions": f"""{_v}, r AS (SELECT *, row_number() OVER (PARTITION BY nas, locale, layer, translation_id, status ORDER BY content_id) AS rn FROM cont),
 k AS (SELECT DISTINCT nas, locale, layer, translation_id, length(nas)%3 AS n FROM cont WHERE status='candidate' AND content_id%4=0),
 j AS (SELECT r.*, k.n FROM r LEFT JOIN k ON r.nas IS NOT DISTINCT FROM k.nas AND r.locale IS NOT DISTINCT FROM k.locale AND r.layer IS NOT DISTINCT FROM k.layer AND r.translation_id IS NOT DISTINCT FROM k.translation_id AND r.status='candidate' AND rn=1)

@@ -331,6 +331,9 @@ def undo_legacy(text: str, model: Bigrams, least: float) -> tuple[float, str, st
     return got, text[:x] + new + text[y:], f"{meant} as {read}"
 
 
+_LOST = re.compile(r"[�\x80-\x84\x86-\x9f]")
+
+
 def repair(text: str, model: Bigrams, least: float = 25.0) -> tuple[str, list[str], bool]:
     """(text, layers, lost): the repaired text, what was undone, whether characters are lost for good.
 
@@ -342,16 +345,15 @@ def repair(text: str, model: Bigrams, least: float = 25.0) -> tuple[str, list[st
             break
         _, text, layer = max(found)
         layers.append(layer)
-    lost = "�" in text or bool(re.search(r"[\x80-\x84\x86-\x9f]", text))
-    return text, layers, lost
+    return text, layers, bool(_LOST.search(text))
 
 
 def suspicious(texts: list[str], model: Bigrams) -> np.ndarray:
-    """Which texts hold a character pair beyond ASCII that clean text seldom has."""
+    """Which texts hold a character pair beyond ASCII that clean text seldom has, or lost characters."""
     u = _points("\n".join(texts) + "\n")
     odd = model.odd(u)
     ends = np.cumsum([len(t) + 1 for t in texts])
-    out = np.zeros(len(texts), bool)
+    out = np.array([bool(_LOST.search(t)) for t in texts], bool)
     out[np.searchsorted(ends, odd, side="right")] = True
     return out
 
@@ -360,8 +362,9 @@ REPAIRED = "doc_id bigint, text string, layers array<string>, lost boolean"
 
 
 def bigram_model(documents: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Bigram and first-character counts over all texts without strong signs of garbling.
+    """Bigram and first-character counts over all distinct texts without strong signs of garbling.
 
+    A text counts once however many rows copy it, else copies of a garbled one make its garbling normal.
     Two tables of fixed size, summed in the tasks and then over them."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -385,7 +388,7 @@ def bigram_model(documents: DataFrame, text: str = "text") -> tuple[np.ndarray,
         at = np.flatnonzero(both)
         yield pd.DataFrame({"slot": at, "n": both[at]})
 
-    rows = documents.select(F.col(text).alias("t")).mapInPandas(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    rows = documents.select(F.col(text).alias("t")).distinct().mapInPandas(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     both = np.zeros(SLOTS + 65536, np.int64)
     both[rows["slot"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return both[:SLOTS], both[SLOTS:]

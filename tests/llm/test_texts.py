@@ -126,3 +126,18 @@ def test_garbled_texts(spark):
     for k in (1002, 1003, 1004, 1005, 1006):
         assert got[k]["text"] == bad[k][0], k
     assert mojibake.repair_documents(df.limit(0)).count() == 0
+
+
+def test_copies_of_a_garbled_text(spark):
+    fr = "La fiancée du frère cacha la clé fêlée à l aube et déroba le trône désert près du lac."
+    el = "ΤΟ ΤΡΑΓΟΥΔΙ ΤΗΣ ΘΑΛΑΣΣΑΣ ΚΑΙ ΤΩΝ ΦΥΛΩΝ, Ωδή Θεών."
+    rnd = random.Random(2)
+    shuffled = lambda t: " ".join(rnd.sample(t[:-1].split(), len(t.split())))
+    rows = [(i, f"{shuffled(fr)} {shuffled(fr)} {shuffled(el)} {i}.") for i in range(1200)]
+    bad = fr.encode("cp1252").decode("cp437")
+    fine = [(5000, None), (5001, ""), (5002, " ")]
+    df = spark.createDataFrame([*rows, *((10_000 + i, bad) for i in range(600)), *fine], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in mojibake.repair_documents(df).collect()}
+    assert got == {10_000 + i: fr for i in range(600)}
+    few = spark.createDataFrame([(1, "Der alte K\ufffdnig."), (2, "Der alte K\u00f6nig.")], "doc_id bigint, text string")
+    assert [(r["doc_id"], r["lost"]) for r in mojibake.repair_documents(few).collect()] == [(1, True)]

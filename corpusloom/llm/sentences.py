@@ -29,8 +29,8 @@ ROUNDS = 3
 #: Closing marks of scripts; quotation pairs by language; scripts that set no spaces or stops.
 STOPS = ".!?…。！？।॥؟።"
 CLOSE = "”’»“\"')]）」』】"
-OPEN_OF = {"de": "„‚", "en": "“‘", "ru": "«„", "el": "«“", "fr": "«“", "zh": "“《‘「", "ja": "「『", "hi": "“‘", "ar": "«“", "th": "“‘"}
-CLOSE_OF = {"de": "“‘", "en": "”", "ru": "»“", "el": "»”", "fr": "»”", "zh": "”》’」", "ja": "」』", "hi": "”", "ar": "»”", "th": "”"}
+QUOTES = {"de": "„“‚‘", "en": "“”‘’", "ru": "«»„“", "el": "«»“”", "fr": "«»“”", "zh": "“”《》‘’「」", "ja": "「」『』", "hi": "“”‘’", "ar": "«»“”", "th": "“”‘’"}
+OTHER_QUOTES = "“”«»„”"
 UNSPACED = {"zh", "ja"}
 UNSTOPPED = {"th", "lo", "km", "my"}
 
@@ -76,12 +76,48 @@ def _gap(ws: str) -> str:
 _SAYS = re.compile(r"[^\s。！？।॥.!?؟，、,]+(?=[。！？।॥.!?؟]|$)")
 
 
+_MARKS = {g: re.compile(f"[{q}]|\n\n") for g, q in [*QUOTES.items(), ("", OTHER_QUOTES)]}
+
+
+def quotations(text: str, lang: str) -> list[tuple[int, int]]:
+    """Outermost quotations of a text in order, as offsets of their two marks.
+
+    Each mark is closed by its own kind within a paragraph, and one that is never closed opens nothing.
+    A raised comma beside letters or after white space is an apostrophe."""
+    lang = lang if lang in QUOTES else ""
+    pairs = QUOTES.get(lang, OTHER_QUOTES)
+    opens, closes = pairs[::2], pairs[1::2]
+    spans: list[tuple[int, int]] = []
+    stack: list[tuple[str, int]] = []  # closing mark awaited, offset
+    for m in _MARKS[lang].finditer(text):
+        c, i = m.group(0), m.start()
+        if c == "\n\n":
+            stack.clear()
+            continue
+        before, behind = text[i - 1 : i], text[i + 1 : i + 2]
+        if c in closes and any(c == k for k, _ in stack):
+            if c == "’" and (before.isspace() or before.isalnum() and behind.isalnum()):
+                continue
+            while True:
+                k, at = stack.pop()
+                if k == c:
+                    break
+            while spans and spans[-1][0] > at:
+                spans.pop()
+            spans.append((at, i))
+        elif c in opens and not (c == "‘" and before.isalnum()):
+            stack.append((closes[opens.index(c)], i))
+    return spans
+
+
 def slots(text: str, lang: str) -> list[Slot]:
     """Slots of a text in order, without its end."""
     tight, bare = lang in UNSPACED, lang in UNSTOPPED
-    opens, closes = OPEN_OF.get(lang, "“«„"), CLOSE_OF.get(lang, "”»")
+    pairs = QUOTES.get(lang, OTHER_QUOTES)
+    opens, closes = pairs[::2], pairs[1::2]
     pattern = _TIGHT if tight else _GAPS if bare else _GREEK if lang == "el" else _SPACED
-    n, at, depth, out = len(text), 0, 0, []
+    n, out = len(text), []
+    quotes, at = quotations(text, lang), 0
     last_end = -1
     for m in pattern.finditer(text):
         if bare or text[m.start()] == "\n":
@@ -96,15 +132,9 @@ def slots(text: str, lang: str) -> list[Slot]:
         if start >= n or end <= 0 or end <= last_end:
             continue
         last_end = end
-        for c in text[at:end]:
-            if c in opens and not (c in closes and depth):
-                depth += 1
-            elif c in closes and depth:
-                depth -= 1
+        while at < len(quotes) and quotes[at][1] < end:
+            at += 1
         gap = text[end:start]
-        if "\n\n" in gap:
-            depth = 0
-        at = end
         sure = 0
         # words beside the slot
         if tight:
@@ -154,8 +184,8 @@ def slots(text: str, lang: str) -> list[Slot]:
                 kind = shape if shape in ("number", "initial", "ordinal") else "w"
                 lk = (f"W{lex}|{mark}", f"M{shape}|{mark}", f"c{mark}")
                 rk = (tail, f"N{nw if len(nw) < 10 else rshape}|{kind}|{mark[-1:]}", f"s{rshape}|{kind}|{mark}")
-        if depth > 0:
-            sure = -1
+        if at < len(quotes) and quotes[at][0] < end:
+            sure = -1  # within a quotation
         out.append(Slot(end, start, lk, rk, _gap(gap), dash, sure, quoted))
     return out
 

@@ -141,3 +141,12 @@ def test_copies_of_a_garbled_text(spark):
     assert got == {10_000 + i: fr for i in range(600)}
     few = spark.createDataFrame([(1, "Der alte K\ufffdnig."), (2, "Der alte K\u00f6nig.")], "doc_id bigint, text string")
     assert [(r["doc_id"], r["lost"]) for r in mojibake.repair_documents(few).collect()] == [(1, True)]
+
+
+def test_sentence_slots_after_single_quotations():
+    spans = lambda t, g="en": [t[s.end :].lstrip()[:4] for s in sentences.slots(t, g) if s.sure == 0]
+    assert spans("The so-called ‘Yes?’ formula recurs. The archer kept it. He left.") == ["form", "The ", "He l"]
+    assert spans("‘It isn’t here! Go!’ said he. The end.") == ["said", "The "]
+    assert spans("“He cried ‘Stop! Now!’ to me. Then he left.” The end. Fin.") == ["The ", "Fin."]
+    assert spans("He said ‘go. The king left. All slept.") == ["The ", "All "]
+    assert spans("Ka‘ba fell. It rose.") == ["It r"] and spans("‘A! B!’ ग।  घ।", "hi") == ["ग।  ", "घ।"]

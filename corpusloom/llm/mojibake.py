@@ -286,14 +286,24 @@ def undo_legacy(text: str, model: Bigrams, least: float) -> tuple[float, str, st
 
     # a look at the odd words alone tells which pairs are worth the whole
     odd_words = np.unique(np.searchsorted(at, odd - a, side="right") - 1)
-    odd_words = odd_words[(odd_words >= 0) & (odd_words < len(at))][:40]
-    look = np.concatenate([seg[at[k] : ends[k] - a + 2] for k in odd_words]) if len(odd_words) else seg[:0]
-    looked = model.each(look).sum() if len(look) > 1 else 0.0
+    odd_words = odd_words[(odd_words >= 0) & (odd_words < len(at))]
+    parts = [seg[at[k] : ends[k] - a + 2] for k in odd_words]
+    look = np.concatenate(parts) if parts else seg[:0]
     worth = set()
     if len(look) > 1:
         share = look > 127
+        word_at = np.cumsum([0, *map(len, parts)])[:-1]
+        per_look = lambda x: np.add.reduceat(x, word_at)
+        looked, n_share = model.each(look), per_look(share.astype(np.float32))
         for pair, (to, ok) in _SINGLE.items():
-            if ok[look][share].mean() > 0.3 and looked - model.each(np.where(ok[look], to[look], look)).sum() > 8:
+            good = ok[look]
+            n_good = per_look((good & share).astype(np.float32))
+            if not (n_good > 0.3 * n_share).any():  # nor then any run of words
+                continue
+            gain = looked - model.each(np.where(good, to[look], look))
+            # either all odd words or the best run of them, for the rest may be beyond repair
+            run, i, j = _best_run(per_look(np.append(gain, np.float32(0))))
+            if gain.sum() > 8 and n_good.sum() > 0.3 * n_share.sum() or run > 8 and n_good[i:j].sum() > 0.3 * n_share[i:j].sum():
                 worth.add(pair)
     for read, meant in LEGACY:
         if meant not in DOUBLE and (read, meant) not in worth:

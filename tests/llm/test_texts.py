@@ -150,3 +150,18 @@ def test_sentence_slots_after_single_quotations():
     assert spans("“He cried ‘Stop! Now!’ to me. Then he left.” The end. Fin.") == ["The ", "Fin."]
     assert spans("He said ‘go. The king left. All slept.") == ["The ", "All "]
     assert spans("Ka‘ba fell. It rose.") == ["It r"] and spans("‘A! B!’ ग।  घ।", "hi") == ["ग।  ", "घ।"]
+
+
+def test_garbled_words_after_many_lost_ones():
+    import numpy as np
+
+    ru = "Старый царь спрятал серебряное весло у брода и вестник нашёл глиняную печать за мельницей. "
+    u = mojibake._points(ru * 20_000)
+    pairs, firsts = np.bincount(mojibake._slots(u), minlength=mojibake.SLOTS), np.bincount(u[:-1], minlength=65536)
+    # replaced letters that some texts hold, so that each makes an odd pair
+    lost = " ".join(w[:2] + "\ufffd" + w[3:] for w in (ru * 12).split() if len(w) > 4)
+    firsts[0xFFFD] = 10**6
+    model = mojibake.Bigrams(pairs, firsts)
+    text = f"{lost} {ru.encode('koi8-r').decode('cp1251')}"
+    got = mojibake.undo_legacy(text, model, 25.0)
+    assert got and got[2] == "koi8-r as cp1251" and got[1].endswith(ru.strip() + " ")

@@ -1,19 +1,23 @@
 """Sentence alignment of bilingual editions by entropic optimal transport.
 
-Word translations are learned from all editions: co-occurrence over paired documents, refined on
-the sentence pairs of a first alignment. Sentences become vectors over shared features (words carried
-over by the translations, numbers, transliterated names). The transport between the two sides has a
-null mass on each, so sentences may stay alone; Sinkhorn scaling gives the plan, whose strong entries
-are the links. Groups of links are one to one, merges, splits or omissions; order plays no part."""
+Word translations are learned from all editions: sparse co-occurrence counts over paired documents,
+refined on the sentence pairs of a first alignment; they stay in the cluster and each document is joined
+to those of its words. Statements (clauses) become vectors over shared features: words carried over by the
+translations, numbers, transliterated names. The transport between the statements of the two sides has a
+null mass on each, so one may stay alone; Sinkhorn scaling gives the plan, whose strong entries are the only
+links. Sentences that hold linked statements form groups: one to one, merges, splits, omissions. Order plays
+no part."""
 
 from __future__ import annotations
 
 import re
+from collections import ChainMap
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -21,14 +25,14 @@ from pyspark.sql.window import Window as W
 from ..functions.address import canon_nas, norm_locale
 from ..session import cut
 
-VOCABULARY = 4096  # bound of each side's words with learned translations
-STEPS, HEAT, NULL = 40, 0.08, 0.24  # Sinkhorn rounds, entropy, similarity at which a null match is as good
-COVER = 0.55  # least share of one of the two sentences that a link covers
+HEAVY = 4096  # most frequent words a side, whose translations every task holds; the others' are joined, with the same result
+EVIDENCE = 3  # documents or linked sentences that a word needs to have translations
+STEPS, HEAT, NULL = 40, 0.08, 0.30  # Sinkhorn rounds, entropy, similarity at which a null match is as good
+LEAST, COVER = 0.15, 0.55  # least mass of a link, least share of one of the two statements that it covers
 
 #: A plain transliteration of Cyrillic letters.
 _CYRILLIC = dict(zip("абвгдеёжзийклмнопрстуфхцчшщъыьэюя", "a b v g d e e zh z i i k l m n o p r s t u f kh ts ch sh sch _ y _ e yu ya".replace("_", "").split(" ")))
 _TOKEN = re.compile(r"\d+|[^\W\d_]+")
-_SENTENCE = re.compile(r"[^.!?]*[.!?]+|[^.!?]+$")
 
 
 def sentences(body: str) -> list[str]:
@@ -73,90 +77,120 @@ def pairs_of(content: DataFrame, sides: tuple[str, str] = ("en", "ru")) -> DataF
     return side(sides[0], "a").join(side(sides[1], "b"), ["nas", "translation_id"]).select("id_a", "body_a", "id_b", "body_b")
 
 
-def _vocabulary(pairs: DataFrame, body: str, size: int, least: int = 3) -> list[tuple[str, int]]:
-    """Words of most documents, at most ``size``."""
+def _words(text: str) -> list[str]:
+    return [x.lower() for x in _TOKEN.findall(text) if not x.isdigit()]
+
+
+@lru_cache(500_000)
+def _hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word) - (1 << 63)
+
+
+class Tally:
+    """Counts of words and of word pairs of a task, in the order in which words came."""
+
+    def __init__(self):
+        self.ids: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        self.single: tuple[list[int], list[int]] = ([], [])
+        self.codes: list[np.ndarray] = []
+        self.size, self.total = 0, 0
+
+    def add(self, a: set[str], b: set[str]) -> None:
+        ends = []
+        for side, words in enumerate((a, b)):
+            ids, single = self.ids[side], self.single[side]
+            at = []
+            for w in words:
+                k = ids.setdefault(w, len(ids))
+                if k == len(single):
+                    single.append(0)
+                single[k] += 1
+                at.append(k)
+            ends.append(np.array(at, np.int64))
+        self.codes.append(np.add.outer(ends[0] << 32, ends[1]).ravel())
+        self.size += len(self.codes[-1])
+        self.total += 1
+
+    def drain(self) -> pd.DataFrame:
+        """(a, b, n): word pairs, words of one side (the other null) and the number of sets (both null)."""
+        code, n = np.unique(np.concatenate([*self.codes, np.zeros(0, np.int64)]), return_counts=True)
+        ha, hb = (np.array([_hash(w) for w in ids], np.int64) for ids in self.ids)
+        na, nb = (np.array(s, np.int64) for s in self.single)
+        none = lambda k: pd.array([pd.NA] * k, "Int64")
+        out = pd.concat([
+            pd.DataFrame({"a": pd.array(ha[code >> 32], "Int64"), "b": pd.array(hb[code & 0xFFFFFFFF], "Int64"), "n": n}),
+            pd.DataFrame({"a": pd.array(ha, "Int64"), "b": none(len(ha)), "n": na}),
+            pd.DataFrame({"a": none(len(hb)), "b": pd.array(hb, "Int64"), "n": nb}),
+            pd.DataFrame({"a": none(1), "b": none(1), "n": [self.total]}),
+        ])
+        self.__init__()
+        return out
+
+
+def _lexicon(tallies: DataFrame, keep: int = 8, least: float = 0.08) -> DataFrame:
+    """(side, word, n, to): words by hash with their counts and, for side 0, translations with weights.
+
+    A pair's weight is the correlation of its words' occurrences; the ``keep`` best of every word on either side stay."""
+    counts = cut(tallies.groupBy("a", "b").agg(F.sum("n").alias("n")))
+    total = max(1, counts.filter("a is null and b is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    na = counts.filter(f"a is not null and b is null and n >= {EVIDENCE}").select("a", F.col("n").alias("na"))
+    nb = counts.filter(f"a is null and b is not null and n >= {EVIDENCE}").select("b", F.col("n").alias("nb"))
+    both = counts.filter("a is not null and b is not null and n > 1").join(na, "a").join(nb, "b")
+    pa, pb, p = (F.col(c) / total for c in ("na", "nb", "n"))
+    phi = (p - pa * pb) / (F.sqrt(pa * (1 - pa) * pb * (1 - pb)) + 1e-9) * F.col("n") / (F.col("n") + 2)
+    strong = both.select("a", "b", phi.alias("p")).filter(F.col("p") >= least)
+    by_a, by_b = (W.partitionBy(k).orderBy(F.desc("p"), o) for k, o in (("a", "b"), ("b", "a")))
+    best = strong.withColumn("ra", F.row_number().over(by_a)).withColumn("rb", F.row_number().over(by_b)).filter((F.col("ra") <= keep) | (F.col("rb") <= keep))
+    to = best.groupBy("a").agg(F.collect_list(F.struct("b", "p")).alias("to"))
+    first = na.join(to, "a", "left").select(F.lit(0).alias("side"), F.col("a").alias("word"), F.col("na").alias("n"), "to")
+    return cut(first.unionByName(nb.select(F.lit(1).alias("side"), F.col("b").alias("word"), F.col("nb").alias("n"), F.lit(None).cast(first.schema["to"].dataType).alias("to"))))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count: dict[str, int] = {}
-        for pdf in batches:
-            for text in pdf[body]:
-                for w in {w.lower() for w in _TOKEN.findall(text) if not w.isdigit()}:
-                    count[w] = count.get(w, 0) + 1
-        yield pd.DataFrame(list(count.items()), columns=["w", "n"])
 
-    got = pairs.select(body).mapInPandas(run, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    return [(r["w"], r["n"]) for r in got.orderBy(F.desc("n"), "w").limit(size).collect()]
+Words = dict[tuple[int, int], tuple[int, list]]  # (side, hash): count, translations
 
 
-def _units(text: str, index: dict[str, int]) -> list[list[int]]:
-    return [sorted({index[w] for w in (x.lower() for x in _TOKEN.findall(s)) if w in index}) for s in sentences(text)]
+def _with_words(pairs: DataFrame, lexicon: DataFrame) -> tuple[DataFrame, Words]:
+    """Pairs with ``words``, the lexicon's rows of their words, but for those that every task holds."""
+    few = F.coalesce(F.size("to"), F.lit(0)) <= 64
+    rows = []
+    for side in (0, 1):
+        rows += lexicon.filter((F.col("side") == side) & few).orderBy(F.desc("n"), "word").limit(HEAVY).collect()
+    heavy: Words = {(r["side"], r["word"]): (r["n"], [(x["b"], x["p"]) for x in r["to"] or []]) for r in rows}
+    b = pairs.sparkSession.sparkContext.broadcast(set(heavy))
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = b.value
+        for pdf in batches:
+            out = []
+            for ka, ta, kb, tb in zip(pdf["id_a"], pdf["body_a"], pdf["id_b"], pdf["body_b"]):
+                out += [(ka, kb, s, h) for s, t in ((0, ta), (1, tb)) for w in set(_words(t)) if (s, h := _hash(w)) not in held]
+            yield pd.DataFrame(out, columns=["id_a", "id_b", "side", "word"])
 
-def _cooccurrence(pairs: DataFrame, va: dict[str, int], vb: dict[str, int], lexicon: dict | None, side: dict, keep: int = 8, least: float = 0.08) -> list[tuple[int, int, float]]:
-    """Word pairs (a, b, weight) by the correlation of their occurrences over documents, or over the linked
-    sentences of an alignment; the ``keep`` best of every word on either side.
+    asked = pairs.select("id_a", "body_a", "id_b", "body_b").mapInPandas(run, "id_a bigint, id_b bigint, side int, word bigint")
+    mine = asked.join(lexicon, ["side", "word"]).groupBy("id_a", "id_b").agg(F.collect_list(F.struct("side", "word", "n", "to")).alias("words"))
+    return pairs.join(mine, ["id_a", "id_b"], "left"), heavy
 
-    The counts stay in the cluster; only pairs of a weight of ``least`` or more come to the driver."""
-    sc = pairs.sparkSession.sparkContext
-    b = sc.broadcast((va, vb, lexicon, side))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        va, vb, lex, side = b.value
-        joint = np.zeros((len(va), len(vb)), np.float32)
-        na, nb, total = np.zeros(len(va)), np.zeros(len(vb)), 0.0
-        for pdf in batches:
-            xa, xb = [], []
-            for ta, tb in zip(pdf["body_a"], pdf["body_b"]):
-                ua, ub = _units(ta, va), _units(tb, vb)
-                if lex is None:
-                    xa.append(sorted({i for u in ua for i in u}))
-                    xb.append(sorted({i for u in ub for i in u}))
-                else:
-                    for i, j in links(ta, tb, va, vb, lex, side):
-                        xa.append(ua[i])
-                        xb.append(ub[j])
-            if not xa:
-                continue
-            ma, mb = np.zeros((len(xa), len(va)), np.float32), np.zeros((len(xb), len(vb)), np.float32)
-            for k, (i, j) in enumerate(zip(xa, xb)):
-                ma[k, i] = 1
-                mb[k, j] = 1
-            joint += ma.T @ mb
-            na += ma.sum(0)
-            nb += mb.sum(0)
-            total += len(xa)
-        i, j = np.nonzero(joint)
-        yield pd.DataFrame({"i": i, "j": j, "n": joint[i, j].astype(float)})
-        yield pd.DataFrame({"i": np.arange(len(na)), "j": -1, "n": na})
-        yield pd.DataFrame({"i": -1, "j": np.arange(len(nb)), "n": nb})
-        yield pd.DataFrame({"i": [-1], "j": [-1], "n": [total]})
-
-    counts = cut(pairs.select("body_a", "body_b").mapInPandas(run, "i int, j int, n double").groupBy("i", "j").agg(F.sum("n").alias("n")))
-    total = max(1.0, sum(r["n"] for r in counts.filter("i < 0 and j < 0").collect()))
-    # at most VOCABULARY rows each
-    na = F.broadcast(counts.filter("i >= 0 and j < 0").select("i", (F.col("n") / total).alias("pa")))
-    nb = F.broadcast(counts.filter("i < 0 and j >= 0").select("j", (F.col("n") / total).alias("pb")))
-    both = counts.filter("i >= 0 and j >= 0").join(na, "i").join(nb, "j")
-    spread = F.sqrt(F.col("pa") * (1 - F.col("pa")) * F.col("pb") * (1 - F.col("pb"))) + 1e-9
-    phi = (F.col("n") / total - F.col("pa") * F.col("pb")) / spread * F.col("n") / (F.col("n") + 2)
-    strong = both.select("i", "j", phi.alias("p")).filter(F.col("p") >= least)
-    by_a, by_b = (W.partitionBy(k).orderBy(F.desc("p"), o) for k, o in (("i", "j"), ("j", "i")))
-    best = strong.withColumn("ra", F.row_number().over(by_a)).withColumn("rb", F.row_number().over(by_b)).filter((F.col("ra") <= keep) | (F.col("rb") <= keep))
-    return [(r["i"], r["j"], r["p"]) for r in best.select("i", "j", "p").collect()]
+def _lookup(heavy: Words, words) -> Words:
+    if words is None or not len(words):
+        return heavy
+    return ChainMap({(r["side"], r["word"]): (r["n"], [(x["b"], x["p"]) for x in (r["to"] if r["to"] is not None else [])]) for r in words}, heavy)
 
 
 class Side:
-    """One body: its distinct tokens with weights, and which sentence and clause holds which."""
+    """One body: its distinct tokens with weights, and which statement of which sentence holds which."""
 
-    def __init__(self, body: str, index: dict[str, int], idf: list[float]):
+    def __init__(self, body: str, side: int, words: Words, n: int):
         self.index: dict[str, int] = {}
         self.token: list[str] = []
-        self.known: list[int] = []
+        self.known: list[int | None] = []  # hash of a word with evidence, else none
         self.names: list[int] = []
         weight: list[float] = []
         rows: list[list[int]] = []
-        self.owner: list[int] = []  # sentence of each clause
+        self.owner: list[int] = []  # sentence of each statement
+        self.n = 0
         for i, sentence in enumerate(sentences(body)):
+            self.n = i + 1
             parts = [x for x in _JOIN.split(sentence) if _TOKEN.search(x)] or [sentence]
             for part in parts:
                 row = []
@@ -164,40 +198,36 @@ class Side:
                     low = w.lower()
                     k = self.index.get(low)
                     if k is None:
-                        v = index.get(low, -1)
-                        number, name = w.isdigit(), w[0].isupper() and len(w) > 3 and v < 0
-                        if v < 0 and not number and not name:
+                        number, h = w.isdigit(), _hash(low)
+                        got = None if number else words.get((side, h))
+                        if got is None and not number and not (w[0].isupper() and len(w) > 3):
                             continue
                         k = self.index[low] = len(self.token)
                         self.token.append(low)
-                        self.known.append(-2 if number else v)
-                        weight.append(3.0 if v < 0 else idf[v])
+                        self.known.append(None if got is None else h)
+                        weight.append(3.0 if got is None else float(np.log(1 + n / got[0])))
                     if w[0].isupper() and len(w) > 3 and k not in self.names:
                         self.names.append(k)
                     row.append(k)
                 rows.append(row)
                 self.owner.append(i)
         self.weight = np.array(weight)
-        self.n = self.owner[-1] + 1 if self.owner else 0
         self.clause = np.zeros((len(rows), len(weight)))
         for r, row in enumerate(rows):
             self.clause[r, row] = 1
-        self.sentence = np.zeros((self.n, len(weight)))
-        for r, i in enumerate(self.owner):
-            self.sentence[i] = np.maximum(self.sentence[i], self.clause[r])
 
 
-def _match(a: Side, b: Side, lex: dict[int, dict[int, float]]) -> np.ndarray:
+def _match(a: Side, b: Side, words: Words) -> np.ndarray:
     """How well each token of a is matched by each of b: translation, equal number, like-sounding name."""
     t = np.zeros((len(a.token), len(b.token)))
-    at = {v: j for j, v in enumerate(b.known) if v >= 0}
+    at = {v: j for j, v in enumerate(b.known) if v is not None}
     for i, v in enumerate(a.known):
-        if v >= 0:
-            for w, p in lex.get(v, {}).items():
+        if v is not None:
+            for w, p in words[0, v][1]:
                 j = at.get(w)
                 if j is not None:
                     t[i, j] = min(1.0, 1.6 * p)
-        elif v == -2:
+        elif a.token[i].isdigit():
             j = b.index.get(a.token[i])
             if j is not None:
                 t[i, j] = 1.0
@@ -211,34 +241,25 @@ def _match(a: Side, b: Side, lex: dict[int, dict[int, float]]) -> np.ndarray:
     return t
 
 
-def _shares(t: np.ndarray, a: Side, b: Side, ma: np.ndarray, mb: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Matched and whole weight of every unit of either side against every unit of the other."""
-    best_a = np.stack([(t * row).max(1) for row in mb], 1)
-    best_b = np.stack([(t * row[:, None]).max(0) for row in ma], 1)
-    got_a = ma @ (a.weight[:, None] * best_a)
-    got_b = (mb @ (b.weight[:, None] * best_b)).T
-    return got_a, got_b, (ma @ a.weight)[:, None] + 1e-9, (mb @ b.weight)[None, :] + 1e-9
-
+def similarity(a: Side, b: Side, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(similarity, cover) of every two statements: translated words, numbers and names, weighted by rarity.
 
-def similarity(a: Side, b: Side, lex: dict[int, dict[int, float]]) -> tuple[np.ndarray, np.ndarray]:
-    """Similarity of every two sentences: translated words, numbers and names, weighted by rarity.
-
-    Also, of their clauses, the largest share that one covers of the other: a statement within a merged
-    sentence is covered as a whole, while two statements that only have a place and a verb in common are not."""
-    t = _match(a, b, lex)
-    got_a, got_b, all_a, all_b = _shares(t, a, b, a.sentence, b.sentence)
-    sim = (got_a + got_b) / (all_a + all_b)
-    got_a, got_b, all_a, all_b = _shares(t, a, b, a.clause, b.clause)
-    share = np.maximum(got_a / all_a, got_b / all_b)
-    cover = np.zeros_like(sim)
-    np.maximum.at(cover, (np.array(a.owner)[:, None], np.array(b.owner)[None, :]), share)
-    return sim, cover
+    ``cover`` is the larger share that one covers of the other: statements that only have a place and a verb in
+    common cover little of either. The similarity is the mean of it and of what both have in common."""
+    t = _match(a, b, words)
+    best_a = np.stack([(t * row).max(1) for row in b.clause], 1)
+    best_b = np.stack([(t * row[:, None]).max(0) for row in a.clause], 1)
+    got_a = a.clause @ (a.weight[:, None] * best_a)
+    got_b = (b.clause @ (b.weight[:, None] * best_b)).T
+    all_a, all_b = (a.clause @ a.weight)[:, None] + 1e-9, (b.clause @ b.weight)[None, :] + 1e-9
+    cover = np.maximum(got_a / all_a, got_b / all_b)
+    return 0.5 * (got_a + got_b) / (all_a + all_b) + 0.5 * cover, cover
 
 
 def transport(sim: np.ndarray, steps: int = STEPS, heat: float = HEAT, null: float = NULL) -> np.ndarray:
-    """Plan of the entropic transport with a null sentence on each side that takes what has no partner.
+    """Plan of the entropic transport with a null statement on each side that takes what has no partner.
 
-    Sentences carry mass 1; the null rows and columns carry enough for all, at cost 1 - ``null``."""
+    Statements carry mass 1; the null rows and columns carry enough for all, at cost 1 - ``null``."""
     n, m = sim.shape
     full = np.full((n + 1, m + 1), null)
     full[:n, :m] = sim
@@ -253,61 +274,96 @@ def transport(sim: np.ndarray, steps: int = STEPS, heat: float = HEAT, null: flo
     return u[:, None] * k * v[None, :]
 
 
-def links(ta: str, tb: str, va: dict, vb: dict, lex: dict, side: dict, least: float = 0.18) -> list[tuple[int, int]]:
-    """Sentence pairs that share a statement, 0-based: strong entries of the transport plan.
+def links(ta: str, tb: str, words: Words, n: int) -> tuple[list[tuple[int, int]], int, int]:
+    """Sentence pairs that share a statement, 0-based, and the number of sentences of either side.
 
-    A merged sentence shares its mass among its parts, so an entry counts when it holds a good part of
-    what either sentence has and the pair is alike by itself."""
-    a, b = Side(ta, va, side["a"]), Side(tb, vb, side["b"])
+    Each comes from a strong entry of the transport plan between the statements; of those, a check keeps the
+    ones where one statement covers enough of the other."""
+    a, b = Side(ta, 0, words, n), Side(tb, 1, words, n)
     if not a.n or not b.n or not a.token or not b.token:
-        return []
-    sim, cover = similarity(a, b, lex)
-    plan = transport(sim)[: a.n, : b.n]
-    strong = (plan >= least) & (sim >= NULL)
-    # one side's sentence may cover several of the other: alike enough, and nobody's better match
-    top_a, top_b = sim.max(1, keepdims=True), sim.max(0, keepdims=True)
-    alike = (sim >= 0.34) & ((sim >= 0.8 * top_a) | (sim >= 0.8 * top_b))
-    return [(int(i), int(j)) for i, j in zip(*np.nonzero((strong | alike) & (cover >= COVER)))]
+        return [], a.n, b.n
+    sim, cover = similarity(a, b, words)
+    plan = transport(sim)[:-1, :-1]
+    return sorted({(a.owner[i], b.owner[j]) for i, j in zip(*np.nonzero((plan >= LEAST) & (cover >= COVER)))}), a.n, b.n
+
+
+def groups(pairs: list[tuple[int, int]]) -> dict[tuple[int, int], str]:
+    """Kind of each link by its group of linked sentences: one, split (one to several), merge or many."""
+    root: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def find(x: tuple[int, int]) -> tuple[int, int]:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for i, j in pairs:
+        root[find((0, i))] = find((1, j))
+    size: dict[tuple[int, int], list[int]] = {}
+    for x in list(root):
+        size.setdefault(find(x), [0, 0])[x[0]] += 1
+    name = {(False, False): "one", (False, True): "split", (True, False): "merge", (True, True): "many"}
+    return {(i, j): name[tuple(k > 1 for k in size[find((0, i))])] for i, j in pairs}
 
 
 def align(content: DataFrame, sides: tuple[str, str] = ("en", "ru"), rounds: int = 2) -> DataFrame:
     """(content_id_a, sentence_a, content_id_b, sentence_b, kind): linked sentences of bilingual editions.
 
     Numbered from 1; ``content_id_a`` < ``content_id_b``. ``kind``: one, merge (several a to one b), split
-    (one a to several b) or many. Sentences without partner give no row. Null, blank and one-sided editions
-    give none; no pairs give no rows; extra columns are ignored."""
+    (one a to several b), many, or omission: a sentence without partner, the other number null. Null, blank and
+    one-sided editions give none; no pairs give no rows; extra columns are ignored."""
     spark = content.sparkSession
-    schema = "content_id_a bigint, sentence_a int, content_id_b bigint, sentence_b int, kind string"
     pairs = cut(pairs_of(content, sides))
-    wa, wb = _vocabulary(pairs, "body_a", VOCABULARY), _vocabulary(pairs, "body_b", VOCABULARY)
-    if not wa or not wb:
-        return spark.createDataFrame([], schema)
-    va, vb = {w: i for i, (w, _) in enumerate(wa)}, {w: i for i, (w, _) in enumerate(wb)}
     n = max(1, pairs.count())
-    idf = lambda x: [float(np.log(1 + n / k)) for _, k in x]
-    side = {"a": idf(wa), "b": idf(wb)}
-    lex: dict | None = None
-    for _ in range(rounds):
-        found = _cooccurrence(pairs, va, vb, lex, side)
-        lex = {}
-        for i, j, p in found:
-            lex.setdefault(i, {})[j] = p
-    b = spark.sparkContext.broadcast((va, vb, lex, side))
+    cols = ["id_a", "body_a", "id_b", "body_b"]
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tally = Tally()
+        for pdf in batches:
+            for ta, tb in zip(pdf["body_a"], pdf["body_b"]):
+                tally.add(set(_words(ta)), set(_words(tb)))
+                if tally.size > 4_000_000:
+                    yield tally.drain()
+        yield tally.drain()
+
+    lexicon = _lexicon(pairs.select("body_a", "body_b").mapInPandas(count, "a bigint, b bigint, n bigint"))
+    for _ in range(rounds - 1):
+        todo, heavy = _with_words(pairs, lexicon)
+        held = spark.sparkContext.broadcast(heavy)
+
+        def recount(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
+            tally = Tally()
+            for pdf in batches:
+                for ta, tb, mine in zip(pdf["body_a"], pdf["body_b"], pdf["words"]):
+                    got, _, _ = links(ta, tb, _lookup(held.value, mine), n)
+                    sa, sb = ([set(_words(s)) for s in sentences(t)] for t in (ta, tb)) if got else ([], [])
+                    for i, j in got:
+                        tally.add(sa[i], sb[j])
+                    if tally.size > 4_000_000:
+                        yield tally.drain()
+            yield tally.drain()
+
+        sentence = _lexicon(todo.select("body_a", "body_b", "words").mapInPandas(recount, "a bigint, b bigint, n bigint"))
+        # rarity stays that over documents
+        docs = lexicon.select("side", "word", F.col("n").alias("n_docs"))
+        lexicon = cut(docs.join(sentence, ["side", "word"], "left").select("side", "word", F.col("n_docs").alias("n"), "to"))
+    todo, heavy = _with_words(pairs, lexicon)
+    held = spark.sparkContext.broadcast(heavy)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        va, vb, lex, side = b.value
         for pdf in batches:
             out = []
-            for ka, ta, kb, tb in zip(pdf["id_a"], pdf["body_a"], pdf["id_b"], pdf["body_b"]):
-                got = links(ta, tb, va, vb, lex, side)
-                da = np.bincount([i for i, _ in got]) if got else []
-                db = np.bincount([j for _, j in got]) if got else []
-                for i, j in got:
-                    kind = {(False, False): "one", (False, True): "merge", (True, False): "split"}.get((da[i] > 1, db[j] > 1), "many")
-                    if ka < kb:
-                        out.append((ka, i + 1, kb, j + 1, kind))
-                    else:
-                        out.append((kb, j + 1, ka, i + 1, {"merge": "split", "split": "merge"}.get(kind, kind)))
-            yield pd.DataFrame(out, columns=["content_id_a", "sentence_a", "content_id_b", "sentence_b", "kind"])
-
-    return pairs.repartition(max(8, spark.sparkContext.defaultParallelism)).mapInPandas(run, schema)
+            for ka, ta, kb, tb, mine in zip(pdf["id_a"], pdf["body_a"], pdf["id_b"], pdf["body_b"], pdf["words"]):
+                got, na, nb = links(ta, tb, _lookup(held.value, mine), n)
+                rows = [(i + 1, j + 1, kind) for (i, j), kind in groups(got).items()]
+                rows += [(i + 1, None, "omission") for i in sorted({*range(na)} - {i for i, _ in got})]
+                rows += [(None, j + 1, "omission") for j in sorted({*range(nb)} - {j for _, j in got})]
+                if ka < kb:
+                    out += [(ka, i, kb, j, kind) for i, j, kind in rows]
+                else:
+                    out += [(kb, j, ka, i, {"merge": "split", "split": "merge"}.get(kind, kind)) for i, j, kind in rows]
+            frame = pd.DataFrame(out, columns=["content_id_a", "sentence_a", "content_id_b", "sentence_b", "kind"])
+            yield frame.astype({"sentence_a": "Int32", "sentence_b": "Int32"})
+
+    schema = "content_id_a bigint, sentence_a int, content_id_b bigint, sentence_b int, kind string"
+    return todo.select(*cols, "words").mapInPandas(run, schema)

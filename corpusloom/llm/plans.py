@@ -15,7 +15,7 @@ QUERIES = {
     "p1_report": lambda s, d: truncation.truncation_report(_truncation(s, d)),
     "p2_counts": lambda s, d: term_counts.motif_counts(table(s, d, "fragment_features")),
     "p2_found": lambda s, d: term_counts.motif_counts(table(s, d, "fragment_features")).filter("mark is not null").select("tmi_code", "mark"),
-    "p3_found": lambda s, d: align.align(table(s, d, "fragment_content")).drop("kind"),
+    "p3_found": lambda s, d: align.align(table(s, d, "fragment_content")).filter("kind <> 'omission'").drop("kind"),
     "p3_links": lambda s, d: align.align(table(s, d, "fragment_content")),
     "p4_found": lambda s, d: ocr.defects(ocr.clean_pages(table(s, d, "fragment_content"), table(s, d, "ingestion_reports"))),
     "p4_repair": lambda s, d: ocr.repaired(ocr.clean_pages(table(s, d, "fragment_content"), table(s, d, "ingestion_reports"))),

@@ -26,8 +26,7 @@ LEGACY = [
     ("cp437", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp1252", "cp437"), ("cp850", "cp1252"), ("cp1252", "cp850"),
     ("cp1251", "cp1252"), ("cp1252", "cp874"), ("cp1251", "mac_cyrillic"), ("mac_cyrillic", "cp1251"),
 ]
-SLOTS = 1 << 20  # bigram table, whatever the data
-LAYERS = 4
+SLOTS = 1 << 20  # least size of the bigram table; it grows with the distinct pairs
 
 
 def _table(enc: str) -> list[str]:
@@ -132,8 +131,8 @@ def rarity(text: str) -> float:
     return float(np.where(u > 0xFFFF, 4.0, _RARE[np.minimum(u, 0xFFFF)]).sum())
 
 
-def _slots(u: np.ndarray) -> np.ndarray:
-    return ((u[:-1] * np.uint32(2654435761)) ^ (u[1:] * np.uint32(40503))) & np.uint32(SLOTS - 1)
+def _slots(u: np.ndarray, slots: int = SLOTS) -> np.ndarray:
+    return ((u[:-1] * np.uint32(2654435761)) ^ (u[1:] * np.uint32(40503))) & np.uint32(slots - 1)
 
 
 def _points(text: str) -> np.ndarray:
@@ -145,20 +144,21 @@ _SPACES[[i for i in range(65536) if chr(i).isspace()]] = True
 
 
 class Bigrams:
-    """Bits of a text under character bigram counts hashed into a fixed table."""
+    """Bits of a text under character bigram counts hashed into a table of sixteen slots a distinct pair or more."""
 
     def __init__(self, pairs: np.ndarray, firsts: np.ndarray):
+        self.slots = len(pairs)
         self.pair = np.log2(pairs + 0.02).astype(np.float32)
         self.first = np.log2(firsts + 4.0).astype(np.float32)
 
     def each(self, u: np.ndarray) -> np.ndarray:
         """Bits of every character after the first."""
-        return self.first[u[:-1] & np.uint32(0xFFFF)] - self.pair[_slots(u)]
+        return self.first[u[:-1] & np.uint32(0xFFFF)] - self.pair[_slots(u, self.slots)]
 
     def odd(self, u: np.ndarray, rare: float = 12.0, rare_back: float = 7.0) -> np.ndarray:
         """Places of character pairs beyond ASCII that are unlikely seen from either character."""
         u = np.where(_SPACES[np.minimum(u, 65535)], np.uint32(32), u)
-        pair = self.pair[_slots(u)]
+        pair = self.pair[_slots(u, self.slots)]
         low = np.uint32(0xFFFF)
         unlikely = (self.first[u[:-1] & low] - pair > rare) & (self.first[u[1:] & low] - pair > rare_back)
         return np.flatnonzero(unlikely & ((u[:-1] > 127) | (u[1:] > 127)))
@@ -284,26 +284,21 @@ def undo_legacy(text: str, model: Bigrams, least: float) -> tuple[float, str, st
             found[read] = [(x, y) for (x, y), k in zip(spans, n) if k * 8 > y - x]
         return found[read]
 
-    # a look at the odd words alone tells which pairs are worth the whole
+    # a look at the odd words alone tells which pairs are worth the whole: those for which some run of them gains
     odd_words = np.unique(np.searchsorted(at, odd - a, side="right") - 1)
     odd_words = odd_words[(odd_words >= 0) & (odd_words < len(at))]
     parts = [seg[at[k] : ends[k] - a + 2] for k in odd_words]
     look = np.concatenate(parts) if parts else seg[:0]
     worth = set()
     if len(look) > 1:
-        share = look > 127
         word_at = np.cumsum([0, *map(len, parts)])[:-1]
-        per_look = lambda x: np.add.reduceat(x, word_at)
-        looked, n_share = model.each(look), per_look(share.astype(np.float32))
+        looked = model.each(look)
         for pair, (to, ok) in _SINGLE.items():
             good = ok[look]
-            n_good = per_look((good & share).astype(np.float32))
-            if not (n_good > 0.3 * n_share).any():  # nor then any run of words
+            if not (good & (look > 127)).any():
                 continue
             gain = looked - model.each(np.where(good, to[look], look))
-            # either all odd words or the best run of them, for the rest may be beyond repair
-            run, i, j = _best_run(per_look(np.append(gain, np.float32(0))))
-            if gain.sum() > 8 and n_good.sum() > 0.3 * n_share.sum() or run > 8 and n_good[i:j].sum() > 0.3 * n_share[i:j].sum():
+            if _best_run(np.add.reduceat(np.append(gain, np.float32(0)), word_at))[0] > 8:
                 worth.add(pair)
     for read, meant in LEGACY:
         if meant not in DOUBLE and (read, meant) not in worth:
@@ -324,8 +319,6 @@ def undo_legacy(text: str, model: Bigrams, least: float) -> tuple[float, str, st
             continue
         to, ok = _SINGLE[read, meant]
         can = ok[seg]
-        if can[high].mean() < 0.05:
-            continue
         after = np.add.reduceat(model.each(to[seg]), at)
         gain = before - after - 2.0
         gain[n_high == 0] = -0.5
@@ -347,9 +340,10 @@ _LOST = re.compile(r"[�\x80-\x84\x86-\x9f]")
 def repair(text: str, model: Bigrams, least: float = 25.0) -> tuple[str, list[str], bool]:
     """(text, layers, lost): the repaired text, what was undone, whether characters are lost for good.
 
-    In each round the change that saves most bits is made, since layers nest either way."""
+    In each round the change that saves most bits is made, since layers nest either way; every round saves
+    some, so there is a last one."""
     layers: list[str] = []
-    for _ in range(2 * LAYERS):
+    while True:
         found = [x for x in (undo_utf8(text, model), undo_legacy(text, model, least)) if x]
         if not found:
             break
@@ -375,10 +369,18 @@ def bigram_model(documents: DataFrame, text: str = "text") -> tuple[np.ndarray,
     """Bigram and first-character counts over all distinct texts without strong signs of garbling.
 
     A text counts once however many rows copy it, else copies of a garbled one make its garbling normal.
-    Two tables of fixed size, summed in the tasks and then over them."""
+    Exact counts of character pairs are summed in the tasks and then over them; there are as many as alphabets
+    have pairs in use. The table they are put in is sized by their number."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pairs, firsts = np.zeros(SLOTS, np.int64), np.zeros(65536, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def squeeze() -> None:
+            code = np.concatenate([c for c, _ in held])
+            n = np.concatenate([k for _, k in held])
+            code, at = np.unique(code, return_inverse=True)
+            held[:] = [(code, np.bincount(at, n).astype(np.int64))]
+
         for pdf in batches:
             texts = [t for t in pdf["t"] if t]
             for k in range(0, len(texts), 200):
@@ -391,17 +393,22 @@ def bigram_model(documents: DataFrame, text: str = "text") -> tuple[np.ndarray,
                     u = u[np.repeat(~bad, np.diff([0, *ends, len(u)]))]
                 if len(u) < 2:
                     continue
-                u = np.where(_SPACES[np.minimum(u, 65535)], np.uint32(32), u)
-                pairs += np.bincount(_slots(u), minlength=SLOTS)
-                firsts += np.bincount(u[:-1] & 0xFFFF, minlength=65536)
-        both = np.concatenate([pairs, firsts])
-        at = np.flatnonzero(both)
-        yield pd.DataFrame({"slot": at, "n": both[at]})
-
-    rows = documents.select(F.col(text).alias("t")).distinct().mapInPandas(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    both = np.zeros(SLOTS + 65536, np.int64)
-    both[rows["slot"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return both[:SLOTS], both[SLOTS:]
+                u = np.where(_SPACES[np.minimum(u, 65535)], np.uint32(32), u).astype(np.int64)
+                held.append(np.unique((u[:-1] << 21) | u[1:], return_counts=True))
+                if sum(len(c) for c, _ in held) > 2_000_000:
+                    squeeze()
+        if held:
+            squeeze()
+            yield pd.DataFrame({"code": held[0][0], "n": held[0][1]})
+
+    rows = documents.select(F.col(text).alias("t")).distinct().mapInPandas(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    code, n = rows["code"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+    slots = SLOTS
+    while slots < 16 * len(code):
+        slots *= 2
+    u = np.column_stack([code >> 21, code & 0x1FFFFF]).astype(np.uint32)
+    at = ((u[:, 0] * np.uint32(2654435761)) ^ (u[:, 1] * np.uint32(40503))) & np.uint32(slots - 1)
+    return np.bincount(at, n, minlength=slots).astype(np.int64), np.bincount(u[:, 0] & 0xFFFF, n, minlength=65536).astype(np.int64)
 
 
 def repair_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", least: float = 25.0) -> DataFrame:

@@ -1,13 +1,13 @@
 """Sentence boundaries across scripts: a hidden-event n-gram language model.
 
 Between words a text may hide the event "boundary". Slots where it may stand are those after a
-closing mark, at line ends and, in scripts without stops, at white space. The model gives the
-probability of the event after the words before it, of the words after it with and without the
-event, and of the gap (a space, or a wider one or paragraph break). It is trained by
-expectation-maximisation on slot counts of the whole corpus, which start from how often each
-context meets a wide gap, for those are far likelier at boundaries. Forward-backward posteriors over the slots
-of a text, with the open quotation or dialogue as state, decide; there the gap is only white
-space and is not used."""
+closing mark, at line ends and, in scripts without stops, at white space. An n-gram model with back-off
+gives the probability of the event after the words before it (with quotation and dash as part of what
+is seen) and of the words after it with and without the event; a chain gives how the events of
+neighbouring slots hang together (the clause that attributes a speech led by a dash goes on after it).
+Both are trained by expectation-maximisation on counts of the whole corpus, which start from how often
+each context meets a wide gap, for those are far likelier at boundaries. Forward-backward posteriors
+over all slots of every text decide; there the gap is only white space and is not used."""
 
 from __future__ import annotations
 
@@ -60,13 +60,12 @@ def _shape(word: str) -> str:
 class Slot:
     """A place that may hide a boundary: its offsets and what the model sees of it.
 
-    ``dash``: 0 none follows, 1 one and then lower case, 2 one and then anything else.
-    ``sure``: -1 never a boundary."""
+    ``kind``: 0 plain, 1 a dash and lower case follow, 2 a dash and anything else, 3 after a quotation, 4 within one."""
 
-    __slots__ = ("dash", "end", "gap", "left", "quoted", "right", "start", "sure")
+    __slots__ = ("end", "gap", "kind", "left", "right", "start")
 
-    def __init__(self, end: int, start: int, left: tuple[str, ...], right: tuple[str, ...], gap: str, dash: int, sure: int, quoted: bool = False):
-        self.end, self.start, self.left, self.right, self.gap, self.dash, self.sure, self.quoted = end, start, left, right, gap, dash, sure, quoted
+    def __init__(self, end: int, start: int, left: tuple[str, ...], right: tuple[str, ...], gap: str, kind: int):
+        self.end, self.start, self.left, self.right, self.gap, self.kind = end, start, left, right, gap, kind
 
 
 def _gap(ws: str) -> str:
@@ -135,7 +134,7 @@ def slots(text: str, lang: str) -> list[Slot]:
         while at < len(quotes) and quotes[at][1] < end:
             at += 1
         gap = text[end:start]
-        sure = 0
+        within = "in" if at < len(quotes) and quotes[at][0] < end else ""
         # words beside the slot
         if tight:
             mark = m.group(0).strip() if text[m.start()] != "\n" else text[end - 1]
@@ -146,7 +145,8 @@ def slots(text: str, lang: str) -> list[Slot]:
             prev = text[max(0, end - len(mark) - 1) : end - len(mark)]
             mark = left[-1:]
             quoted = mark in closes
-            lk = (f"l{prev}{left}", f"L{left}", f"c{mark}")
+            mark += within
+            lk = (f"l{prev}{left}{within}", f"L{left}{within}", f"c{mark}")
             rk = (f"T{tail}|{mark}" if quoted else "", f"R{nxt}|{mark}", f"s|{mark}")
             dash = 0
         else:
@@ -169,11 +169,9 @@ def slots(text: str, lang: str) -> list[Slot]:
                 mark = ("num" if word[-1:].isdigit() else "q" if word[-1:] in closes else "abbr" if word.endswith(".") else "") + "|" + (
                     "num" if nxt[:1].isdigit() else "ditto" if nxt.startswith("ฯ") else "open" if nxt[:1] in opens else ""
                 )
+                mark += within
                 lk = (f"W{word[-4:]}|{mark}", f"M|{mark}", f"c{mark}")
                 rk = ("", f"N{nxt[:3]}|{mark}", f"s|{mark}")
-                before, _, behind = mark.partition("|")
-                if behind in ("num", "ditto") or before in ("num", "q"):
-                    sure = -1  # spaces beside numerals, before a closing abbreviation, after a quotation
             else:
                 lex = core if shape not in ("number", "ordinal") and (len(core) < 8 or "." in core[:-1]) else shape
                 tail = ""
@@ -182,16 +180,17 @@ def slots(text: str, lang: str) -> list[Slot]:
                     tail = f"T{says.group(0) if says else ''}|{mark}"
                 nw = nxt.rstrip(".,;:!?")
                 kind = shape if shape in ("number", "initial", "ordinal") else "w"
+                mark += within
                 lk = (f"W{lex}|{mark}", f"M{shape}|{mark}", f"c{mark}")
                 rk = (tail, f"N{nw if len(nw) < 10 else rshape}|{kind}|{mark[-1:]}", f"s{rshape}|{kind}|{mark}")
-        if at < len(quotes) and quotes[at][0] < end:
-            sure = -1  # within a quotation
-        out.append(Slot(end, start, lk, rk, _gap(gap), dash, sure, quoted))
+        if within:  # what holds within quotations holds in all languages
+            lk, rk = (*lk[:2], "*in"), (*rk[:2], "*in")
+        out.append(Slot(end, start, lk, rk, _gap(gap), 4 if within else dash or (3 if quoted else 0)))
     return out
 
 
 def _h(lang: str, name: str) -> int:
-    return zlib.crc32(f"{lang}|{name}".encode()) % SLOTS
+    return zlib.crc32((name if name[0] == "*" else f"{lang}|{name}").encode()) % SLOTS
 
 
 _KEYS: dict[tuple, tuple[int, ...]] = {}
@@ -237,6 +236,12 @@ class Model:
         tail = np.where(keys[:, 3] > 0, _logit(backed(self.right, base, keys[:, 3])) - _logit(base), 0.0)
         return _logit(left) + _logit(right) - _logit(base) + tail
 
+    def coarse(self, keys: np.ndarray, weight: float = 4.0) -> np.ndarray:
+        """The odds where only the last back-off of either side is known."""
+        l, r = self.left[keys[:, 2]], self.right[keys[:, 5]]
+        base = (l[:, 0] + weight * 0.7) / (l[:, 1] + weight)
+        return _logit((r[:, 0] + weight * base) / (r[:, 1] + weight))
+
 
 def _evidence(wide: Model, keys: np.ndarray, rate: np.ndarray) -> np.ndarray:
     """Start odds from wide gaps alone: a context that is met often enough and never or hardly ever
@@ -253,98 +258,167 @@ def _evidence(wide: Model, keys: np.ndarray, rate: np.ndarray) -> np.ndarray:
     return odds
 
 
-def _dialogue(found: list[Slot], p: np.ndarray, opened: bool) -> np.ndarray:
-    """Posteriors by forward-backward where speeches are led by dashes.
-
-    State: 0 no dialogue; 1, 2, 3 the first speech, its clause and the second speech. A dash before
-    lower case goes on; one before a capital goes on after the clause and starts a unit elsewhere."""
-    n = len(found)
-    stay = np.zeros((n, 4, 4))  # [slot, from, to] without a boundary
-    move = np.zeros((n, 4, 4))  # with one
-    for i, s in enumerate(found):
-        for st in range(4):
-            if s.dash:
-                goes_on = 0.98 if s.dash == 1 or s.quoted or st == 2 else 0.03
-                stay[i, st, min(3, st + 1) if st in (1, 2) else st] = goes_on
-                move[i, st, 1] = 1 - goes_on
-            else:
-                stay[i, st, st] = 1 - p[i]
-                move[i, st, 0] = p[i]
-    f = np.zeros((n + 1, 4))
-    f[0, 1 if opened else 0] = 1
-    for i in range(n):
-        f[i + 1] = f[i] @ (stay[i] + move[i])
-        f[i + 1] /= f[i + 1].sum()
-    b = np.ones((n + 1, 4))
-    for i in range(n - 1, -1, -1):
-        b[i] = (stay[i] + move[i]) @ b[i + 1]
-        b[i] /= b[i].sum()
-    out = np.zeros(n)
-    for i in range(n):
-        x, y = f[i] @ move[i] @ b[i + 1], f[i] @ stay[i] @ b[i + 1]
-        out[i] = x / (x + y) if x + y else 0
-    return out
+KINDS, STATES = 5, 3  # kinds of slots; states: 0 after a boundary, 1 within a unit, 2 within one and past a dash and lower case
+
+
+def _follow(state: int, kind: int) -> int:
+    """State after a slot that holds no boundary."""
+    if kind == 1:
+        return 2
+    return 2 if state == 2 and kind not in (2,) else 1
+
+
+_NEXT = np.array([[_follow(s, k) for s in range(STATES)] for k in range(KINDS)])
+
+
+def posteriors(odds: list[np.ndarray], kinds: list[np.ndarray], chain: list[np.ndarray]) -> list[np.ndarray]:
+    """Probability of a boundary at every slot of every text, by forward-backward over the texts side by side.
+
+    ``odds``: of the n-gram model at the slots; ``chain`` (kinds, states): what the state before adds to them."""
+    order = sorted(range(len(odds)), key=lambda i: -len(odds[i]))
+    lengths = np.array([len(odds[i]) for i in order])
+    if not len(order) or not lengths[0]:
+        return [np.zeros(0) for _ in odds]
+    n, m = len(order), int(lengths[0])
+    o, k = np.zeros((m, n)), np.zeros((m, n), np.int64)
+    for c, i in enumerate(order):
+        o[: lengths[c], c] = odds[i]
+        k[: lengths[c], c] = kinds[i]
+    add = np.stack([chain[i] for i in order])
+    live = [int(np.searchsorted(-lengths, -x, side="left")) for x in range(m + 1)]  # texts with more than x slots
+    p, f = np.zeros((m, n, STATES)), np.zeros((m + 1, n, STATES))
+    f[0, :, 0] = 1  # a text starts a unit
+    col = np.arange(n)
+    for x in range(m):
+        a = live[x]
+        c = col[:a]
+        p[x, :a] = 1 / (1 + np.exp(-np.clip(o[x, :a, None] + add[c, k[x, :a]], -30, 30)))
+        stay = f[x, :a] * (1 - p[x, :a])
+        new = np.zeros((a, STATES))
+        new[:, 0] = (f[x, :a] * p[x, :a]).sum(1)
+        for s in range(STATES):
+            np.add.at(new, (c, _NEXT[k[x, :a], s]), stay[:, s])
+        f[x + 1, :a] = new / new.sum(1, keepdims=True)
+    b = np.ones((n, STATES))
+    out = np.zeros((m, n))
+    for x in range(m - 1, -1, -1):
+        a = live[x]
+        c = col[:a]
+        after = b[:a]
+        yes = f[x, :a] * p[x, :a] * after[:, :1]
+        on = np.take_along_axis(after, _NEXT[k[x, :a]], 1)
+        no = f[x, :a] * (1 - p[x, :a]) * on
+        out[x, :a] = yes.sum(1) / (yes.sum(1) + no.sum(1) + 1e-300)
+        back = p[x, :a] * after[:, :1] + (1 - p[x, :a]) * on
+        b[:a] = back / back.sum(1, keepdims=True)
+    got: list[np.ndarray] = [np.zeros(0)] * len(odds)
+    for c, i in enumerate(order):
+        got[i] = out[: lengths[c], c]
+    return got
 
 
-def decide(texts: list[str], langs: list[str], model: Model) -> list[list[tuple[int, int]]]:
-    """Spans of the units of each text: the posteriors of the hidden events above one half.
-
-    Slots without dialogue hang together only through what surrounds them, so their posterior is local;
-    texts with dashes run through the states."""
-    found: list[list[Slot]] = []
-    keys: list[tuple[int, ...]] = []
-    for text, lang in zip(texts, langs):
-        x = slots(text.rstrip(), lang)
-        found.append(x)
-        keys.extend(_hashed(lang, s) for s in x)
-    odds = model.odds(np.array(keys, np.int64).reshape(-1, 6))
-    prob = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-    out, at_key = [], 0
-    for text, lang, mine in zip(texts, langs, found):
-        p = prob[at_key : at_key + len(mine)]
-        at_key += len(mine)
+def decide(texts: list[str], langs: list[str], model: Model, chain: dict[str, np.ndarray]) -> list[list[tuple[int, int]]]:
+    """Spans of the units of each text: the posteriors of the hidden events above one half."""
+    found = [slots(text.rstrip(), lang) for text, lang in zip(texts, langs)]
+    keys = [_hashed(lang, s) for x, lang in zip(found, langs) for s in x]
+    odds = np.clip(model.odds(np.array(keys, np.int64).reshape(-1, 6)), -30, 30)
+    parts = np.split(odds, np.cumsum([len(x) for x in found])[:-1]) if found else []
+    none = np.zeros((KINDS, STATES))
+    post = posteriors(parts, [np.array([s.kind for s in x], np.int64) for x in found], [chain.get(g, none) for g in langs])
+    out = []
+    for text, mine, p in zip(texts, found, post):
         end = len(text.rstrip())
         at = len(text) - len(text.lstrip())
-        if at >= end:
-            out.append([])
-            continue
-        p = np.where([s.sure < 0 for s in mine], 0.0, p) if mine else p
-        if any(s.dash for s in mine):
-            p = _dialogue(mine, p, text[at] in "—–")
         spans = []
         for s, x in zip(mine, p):
             if x > 0.5 and s.end > at:
                 spans.append((at, s.end))
                 at = s.start
-        spans.append((at, end))
+        if at < end:
+            spans.append((at, end))
         out.append(spans)
     return out
 
 
-COLS = ["lang", "l0", "l1", "l2", "r0", "r1", "r2", "wide", "n"]
-SCHEMA = "lang string, l0 int, l1 int, l2 int, r0 int, r1 int, r2 int, wide int, n bigint"
+COLS = ["lang", "l0", "l1", "l2", "r0", "r1", "r2", "wide", "pl", "pr", "pwide", "pkind", "kind", "n"]
+SCHEMA = "lang string, l0 int, l1 int, l2 int, r0 int, r1 int, r2 int, wide int, pl int, pr int, pwide int, pkind int, kind int, n bigint"
 
 
 def _contexts(bodies: DataFrame) -> DataFrame:
-    """Slot counts by hashed contexts and gap. Line ends are left out: they may be mere wraps."""
+    """Slot counts by hashed contexts and gap, and counts of neighbouring slots by their coarse contexts (``kind`` >= 0).
+
+    Slots before dashes are left to the chain. ``wide``: 1 a wide gap, 0 a space, -1 a line end, which says nothing, for it may be a mere wrap."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: dict[tuple, int] = {}
+
+        def frame() -> pd.DataFrame:
+            return pd.DataFrame([(*k, n) for k, n in rows.items()], columns=COLS)
+
         for pdf in batches:
             for text, lang in zip(pdf["body"], pdf["lang"]):
+                last = (-1, -1, -1, -1)
                 for s in slots(text.rstrip(), lang):
-                    if s.sure == 0 and not s.dash and s.gap != "line":
-                        k = (lang, *_hashed(lang, s), int(s.gap == "wide"))
+                    key, wide = _hashed(lang, s), -1 if s.gap == "line" else int(s.gap == "wide")
+                    if wide >= 0 and s.kind not in (1, 2):
+                        k = (lang, *key, wide, -1, -1, -1, -1, -1)
                         rows[k] = rows.get(k, 0) + 1
+                    k = (lang, -1, -1, key[2], -1, -1, key[5], wide, *last, s.kind)
+                    rows[k] = rows.get(k, 0) + 1
+                    last = (key[2], key[5], wide, s.kind)
             if len(rows) > 200_000:
-                yield pd.DataFrame([(*k, n) for k, n in rows.items()], columns=COLS)
+                yield frame()
                 rows.clear()
-        yield pd.DataFrame([(*k, n) for k, n in rows.items()], columns=COLS)
+        yield frame()
 
     got = bodies.select("body", "lang").mapInPandas(run, SCHEMA)
     return got.groupBy(*COLS[:-1]).agg(F.sum("n").alias("n"))
 
 
+def _chain(pairs: pd.DataFrame, model: Model, rates: dict[str, float], rounds: int = 4, trust: float = 20.0) -> dict[str, np.ndarray]:
+    """What the state before a slot adds to its odds, by language, kind of slot and state: expectation-maximisation
+    over the counts of neighbouring slots. A coarse context's odds are the n-gram model's at its last back-off.
+
+    Only dashes depend on what lies before the n-gram; elsewhere nothing is added. The share of boundaries at a kind and state is that of wide gaps over their share at boundaries; the n-gram
+    model's own expectation counts as ``trust`` slots."""
+    out: dict[str, np.ndarray] = {}
+
+    def coarse(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = np.zeros((len(left), 6), np.int64)
+        keys[:, 2], keys[:, 5] = np.maximum(left, 0), np.maximum(right, 0)
+        return model.coarse(keys)
+
+    for lang, d in pairs.groupby("lang"):
+        r, n = rates.get(lang, 0.2), d["n"].to_numpy(float)
+        seen = lambda w: np.where(w > 0, 5.0, np.where(w == 0, np.log1p(-min(r, 0.9)), 0.0))
+        kind, first = d["kind"].to_numpy(), d["pkind"].to_numpy() < 0
+        before = np.where(first, 30.0, coarse(d["pl"].to_numpy(), d["pr"].to_numpy()) + seen(d["pwide"].to_numpy()))
+        here, gap = coarse(d["l2"].to_numpy(), d["r2"].to_numpy()), seen(d["wide"].to_numpy())
+        inside = np.where(d["pkind"].to_numpy() == 1, 2, 1)  # the state where no boundary was
+        prior = 1 / (1 + np.exp(-np.clip(before, -30, 30)))
+        add = np.zeros((KINDS, STATES))
+        for _ in range(rounds):
+            odds = [here + add[kind, 0], here + add[kind, inside]]
+            yes = [1 / (1 + np.exp(-np.clip(o, -30, 30))) for o in odds]
+            # the slot's gap tells of both events
+            like = [y * np.exp(gap) + 1 - y for y in yes]
+            w0 = prior * like[0]
+            w0 = w0 / (w0 + (1 - prior) * like[1])
+            known = d["wide"].to_numpy() >= 0
+            wide = np.maximum(d["wide"].to_numpy(), 0)
+            total, met, want = np.zeros((3, KINDS * STATES))
+            for state, w, y in ((0, w0, yes[0]), (inside, 1 - w0, yes[1])):
+                at = kind * STATES + state
+                for acc, x in ((total, 1.0), (met, wide), (want, y)):
+                    acc += np.bincount(at, n * w * known * x, KINDS * STATES)
+            p0 = np.clip(want / np.maximum(total, 1e-9), 0.01, 0.99)
+            p1 = np.clip((met / r + trust * p0) / (total + trust), 0.01, 0.99)
+            step = np.where(total > 0, np.log(p1 / (1 - p1)) - np.log(p0 / (1 - p0)), 0.0).reshape(KINDS, STATES)
+            add[1:3] = np.clip(add + step, -6, 6)[1:3]
+        out[lang] = add
+    return out
+
+
 def _expect(contexts: DataFrame, model: Model | None, rates: dict[str, float], first: bool = False) -> Model:
     """One round: expected boundaries over all contexts, added up in fixed tables.
 
@@ -372,18 +446,20 @@ def _expect(contexts: DataFrame, model: Model | None, rates: dict[str, float], f
         side, at = np.nonzero(acc[:, 1])
         yield pd.DataFrame({"side": side, "slot": at, "b": acc[side, 0, at], "n": acc[side, 1, at]})
 
-    rows = contexts.mapInPandas(run, "side int, slot int, b double, n double").groupBy("side", "slot").agg(F.sum("b").alias("b"), F.sum("n").alias("n")).toPandas()
+    rows = contexts.mapInPandas(run, "side int, slot int, b double, n double").groupBy("side", "slot").agg(*(F.sum(c).alias(c) for c in ("b", "n"))).toPandas()
     tables = np.zeros((2, SLOTS, 2))
-    n = rows["n"].to_numpy(float)
-    tables[rows["side"], rows["slot"], 0] = np.minimum(rows["b"].to_numpy(float), n)
+    n, b = rows["n"].to_numpy(float), rows["b"].to_numpy(float)
+    tables[rows["side"], rows["slot"], 0] = np.minimum(b, n)
     tables[rows["side"], rows["slot"], 1] = n
     tables[:, 0] = 0
     return Model(tables[0], tables[1])
 
 
-def train(bodies: DataFrame, rounds: int = ROUNDS) -> Model:
-    """Model of all bodies (body, lang); the tables it collects have a fixed size."""
-    contexts = cut(_contexts(bodies))
+def train(bodies: DataFrame, rounds: int = ROUNDS) -> tuple[Model, dict[str, np.ndarray]]:
+    """(n-gram model, chain) of all bodies (body, lang); the tables it collects have a size set by ``SLOTS`` and by
+    the number of coarse contexts, which are classes of marks and words."""
+    both = cut(_contexts(bodies))
+    contexts = both.filter("kind < 0").select(*COLS[:8], "n")
     # the share of wide gaps at boundaries: that of the contexts which meet them most, by language
     by = contexts.groupBy("lang", "l1").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("wide")).alias("w")).filter("n >= 20")
     top = by.groupBy("lang").agg(F.expr("percentile(w / n, 0.75, n)").alias("rate"))
@@ -394,8 +470,8 @@ def train(bodies: DataFrame, rounds: int = ROUNDS) -> Model:
     for i in range(rounds):
         model = _expect(contexts, model, rates, i == 1)
     if model is None or not rates:
-        model = Model(np.zeros((SLOTS, 2)), np.zeros((SLOTS, 2)))
-    return model
+        return Model(np.zeros((SLOTS, 2)), np.zeros((SLOTS, 2))), {}
+    return model, _chain(both.filter("kind >= 0").select("lang", "l2", "r2", "wide", "pl", "pr", "pwide", "pkind", "kind", "n").toPandas(), model, rates)
 
 
 def segment(content: DataFrame, layers: list[str] | None = None) -> DataFrame:
@@ -412,15 +488,16 @@ def segment(content: DataFrame, layers: list[str] | None = None) -> DataFrame:
         .filter(F.col("body").rlike(r"\S"))
     )
     one = cut(one)
-    m = train(one)
-    b = content.sparkSession.sparkContext.broadcast((m.left, m.right))
+    m, chain = train(one)
+    b = content.sparkSession.sparkContext.broadcast((m.left, m.right, chain))
     todo = one.filter(F.col("layer").isin(layers)) if layers else one
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = Model(*b.value)
+        left, right, chain = b.value
+        model = Model(left, right)
         for pdf in batches:
             out = []
-            units = decide(pdf["body"].tolist(), pdf["lang"].tolist(), model)
+            units = decide(pdf["body"].tolist(), pdf["lang"].tolist(), model, chain)
             for k, layer, text, spans in zip(pdf["content_id"], pdf["layer"], pdf["body"], units):
                 out += [(k, layer, i, x, y, text[x:y]) for i, (x, y) in enumerate(spans, 1)]
             yield pd.DataFrame(out, columns=["content_id", "layer", "sentence_no", "char_start", "char_end", "sentence"])

@@ -132,7 +132,7 @@ def rarity(text: str) -> float:
 
 
 def _slots(u: np.ndarray, slots: int = SLOTS) -> np.ndarray:
-    return ((u[:-1] * np.uint32(2654435761)) ^ (u[1:] * np.uint32(40503))) & np.uint32(slots - 1)
+    return ((u[..., :-1] * np.uint32(2654435761)) ^ (u[..., 1:] * np.uint32(40503))) & np.uint32(slots - 1)
 
 
 def _points(text: str) -> np.ndarray:
@@ -153,7 +153,7 @@ class Bigrams:
 
     def each(self, u: np.ndarray) -> np.ndarray:
         """Bits of every character after the first."""
-        return self.first[u[:-1] & np.uint32(0xFFFF)] - self.pair[_slots(u, self.slots)]
+        return self.first[u[..., :-1] & np.uint32(0xFFFF)] - self.pair[_slots(u, self.slots)]
 
     def odd(self, u: np.ndarray, rare: float = 12.0, rare_back: float = 7.0) -> np.ndarray:
         """Places of character pairs beyond ASCII that are unlikely seen from either character."""
@@ -248,6 +248,8 @@ def _single(read: str, meant: str) -> tuple[np.ndarray, np.ndarray]:
 
 DOUBLE = {"gb18030", "shift_jis", "euc_jp", "big5"}
 _SINGLE = {(r, m): _single(r, m) for r, m in LEGACY if m not in DOUBLE}
+_PAIRS = list(_SINGLE)
+_TO, _OK = (np.stack([_SINGLE[x][k] for x in _PAIRS]) for k in (0, 1))
 _RUNS = {r: re.compile("[" + "".join(re.escape(c) for c in _BYTES[r] if c >= " ") + "]{4,}") for r in {r for r, m in LEGACY if m in DOUBLE}}
 
 
@@ -293,13 +295,13 @@ def undo_legacy(text: str, model: Bigrams, least: float) -> tuple[float, str, st
     if len(look) > 1:
         word_at = np.cumsum([0, *map(len, parts)])[:-1]
         looked = model.each(look)
-        for pair, (to, ok) in _SINGLE.items():
-            good = ok[look]
-            if not (good & (look > 127)).any():
-                continue
-            gain = looked - model.each(np.where(good, to[look], look))
-            if _best_run(np.add.reduceat(np.append(gain, np.float32(0)), word_at))[0] > 8:
-                worth.add(pair)
+        able = np.flatnonzero(_OK[:, np.unique(look[look > 127])].any(1))
+        for block in np.array_split(able, max(1, len(able) * len(look) // 2_000_000)):
+            new = np.where(_OK[block[:, None], look], _TO[block[:, None], look], look)
+            gain = np.pad(looked - model.each(new), ((0, 0), (0, 1)))
+            sums = np.pad(np.cumsum(np.add.reduceat(gain, word_at, axis=1), axis=1), ((0, 0), (1, 0)))
+            best_run = (sums - np.minimum.accumulate(sums, axis=1)).max(1)
+            worth |= {_PAIRS[k] for k in block[best_run > 8]}
     for read, meant in LEGACY:
         if meant not in DOUBLE and (read, meant) not in worth:
             continue

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..functions.address import canon_propp, canon_tmi, tmi_branch, tmi_root
+from ..functions.address import canon_propp, canon_tmi, nas_part, tmi_branch, tmi_root
 from ..functions.text import cosine_units, cut_note, jaccard, overlap, unit
 from ..session import cut
 
@@ -18,15 +20,34 @@ EDGE = [
 ]
 
 
-def features(df: DataFrame, stop: DataFrame | None = None) -> DataFrame:
-    """One row a fragment with its code sets by level; lacunae and stop codes left out, gaps dropped."""
+def stop_codes(df: DataFrame, share: float = 0.3) -> DataFrame:
+    """Motif codes of strictly more than that share of all rows, lacunae and rows without codes included."""
+    codes = F.array_distinct(F.filter(F.transform("tmi_codes", canon_tmi), lambda x: x.isNotNull()))
+    counts = df.select(F.explode(codes).alias("code")).groupBy("code").agg(F.count("*").alias("n"))
+    return counts.join(F.broadcast(df.agg(F.count("*").alias("_all"))), F.col("n") > share * F.col("_all")).select("code")  # one row
+
+
+def assemble(sets: DataFrame, sequences: DataFrame, profiles: DataFrame) -> DataFrame:
+    """One row an address from derived artifacts: the union of the keys of code sets, sequences and profiles; what is absent is empty or null.
+
+    ``sets``: nas, codes; ``sequences``: episodes, sequence (gaps are '' or null); ``profiles``: nas, chronotope_type, polyphony, carnivalesque."""
+    pair = F.explode(F.arrays_zip("episodes", "sequence")).alias("x")
+    propp = sequences.select(pair).groupBy(F.col("x.episodes").alias("nas")).agg(F.collect_list(F.coalesce("x.sequence", F.lit(""))).alias("propp_codes"))
+    empty = F.array().cast("array<string>")
+    j = sets.select("nas", F.col("codes").alias("tmi_codes")).join(propp, "nas", "full_outer").join(profiles.select("nas", "chronotope_type", "polyphony", "carnivalesque"), "nas", "full_outer")
+    return j.select("nas", nas_part(F.col("nas"), 3).alias("tradition"), F.coalesce("tmi_codes", empty).alias("tmi_codes"), F.coalesce("propp_codes", empty).alias("propp_codes"), "chronotope_type", "polyphony", "carnivalesque")
+
+
+def features(df: DataFrame, stop_share: float | None = 0.3) -> DataFrame:
+    """One row a fragment with its code sets by level; lacunae left out, gaps dropped, and so are motif codes that
+    more than ``stop_share`` of all rows have (null: none are dropped)."""
     arr = lambda c, canon: F.array_distinct(F.filter(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), canon), lambda x: x.isNotNull()))
     f = df.filter(~F.contains(F.col("nas"), F.lit("/lacuna"))).select(
         "nas", "tradition", arr("tmi_codes", canon_tmi).alias("leaf"), arr("propp_codes", canon_propp).alias("propp"), "chronotope_type", "polyphony", "carnivalesque"
     )
-    if stop is not None:
-        # the stop codes exceed a fixed share of all fragments, so there are at most codes a fragment / share of them
-        codes = [r[0] for r in stop.collect()]
+    if stop_share is not None:
+        # there are at most (codes a row) / share of them
+        codes = [r[0] for r in stop_codes(df, stop_share).orderBy("code").collect()]
         if codes:
             f = f.withColumn("leaf", F.array_except("leaf", F.array(*map(F.lit, codes))))
     level = lambda key: F.array_distinct(F.filter(F.transform("leaf", key), lambda x: x.isNotNull()))
@@ -53,32 +74,39 @@ def _score(p: DataFrame, leaf: float, branch: float, propp: float, least: int, d
     return s.select(*EDGE)
 
 
-def edges_theta(f: DataFrame, leaf: float = 0.1, branch: float = 0.25, propp: float = 0.0, least: int = 3, delta: float = 0.15) -> DataFrame:
-    """All cross-tradition pairs scored, for reference on small inputs and where no key can block."""
-    on = (F.col("a.tradition") < F.col("b.tradition"))
+def edges_theta(f: DataFrame, leaf: float = 0.1, branch: float = 0.25, propp: float = 0.0, least: int = 3, delta: float = 0.15, most: int = 20_000) -> DataFrame:
+    """All cross-tradition pairs scored, for reference on small inputs and where no key can block; larger ones are an error."""
+    if f.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows, and thresholds that no key can block")
+    on = F.col("a.tradition") < F.col("b.tradition")
     return _score(f.alias("a").join(f.alias("b"), on), leaf, branch, propp, least, delta)
 
 
 def edges(f: DataFrame, leaf: float = 0.1, branch: float = 0.25, propp: float = 0.0, least: int = 3, delta: float = 0.15) -> DataFrame:
-    """Edges without pairing all: of the four dimensions at least ``least`` hold, so two of Propp code,
-    chronotope and polyphony band do (one where ``least`` is 2), and equi-joins on those find every edge.
+    """Edges without pairing all: an edge agrees in ``least`` of the four dimensions, and each has a key on which two
+    fragments that agree in it meet: motif branch, function code, chronotope, polyphony band. So equi-joins on every
+    choice of ``least`` keys find all edges, and rows that meet agree in that many dimensions but for the thresholds.
 
-    Polyphony bands are ``delta`` wide and meet their neighbours, so any numbers are covered. member_a is of
-    the tradition that comes first. With ``least`` below 2, or thresholds that let empty sets qualify, the
-    pairs can't be blocked and ``edges_theta`` is used."""
-    if least < 2 or leaf <= 0 or branch <= 0 or propp < 0:
+    Polyphony bands are ``delta`` wide and meet their neighbours, so any numbers are covered. member_a is of the
+    tradition that comes first. With thresholds that let empty sets qualify no key blocks and ``edges_theta`` is used."""
+    if least < 1 or leaf <= 0 or branch <= 0 or propp < 0:
         return edges_theta(f, leaf, branch, propp, least, delta)
-    base = f.withColumn("band", F.floor(F.col("polyphony") / delta).cast("int"))
-    a = base.select("nas", "tradition", F.explode_outer("propp").alias("k1"), F.col("chronotope_type").alias("k2"), F.explode(F.coalesce(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1), F.array(F.lit(None).cast("int")))).alias("k3"))
-    b = base.select("nas", "tradition", F.explode_outer("propp").alias("k1"), F.col("chronotope_type").alias("k2"), F.col("band").alias("k3"))
-    keys = [("k1", "k2"), ("k1", "k3"), ("k2", "k3")] if least >= 3 else [("k1",), ("k2",), ("k3",)]
-    if least >= 4:
-        keys = [("k1", "k2", "k3")]
+    # a shared code means a shared branch, but for codes that have none
+    odd = F.filter("leaf", lambda x: tmi_branch(x).isNull())
+    base = f.select("nas", "tradition", F.concat("branch", odd).alias("t"), F.col("propp").alias("p"), F.col("chronotope_type").alias("c"), F.floor(F.col("polyphony") / delta).cast("int").alias("b"))
     found = []
-    for k in keys:
-        x = a.dropna(subset=list(k)).select(F.col("nas").alias("na"), F.col("tradition").alias("ta"), *k).distinct()
-        y = b.dropna(subset=list(k)).select(F.col("nas").alias("nb"), F.col("tradition").alias("tb"), *k).distinct()
-        found.append(x.join(y, list(k)).filter("ta < tb").select("na", "nb"))
+    for keys in combinations("tpcb", least):
+
+        def side(n: str, keys=keys) -> DataFrame:
+            x = base.select(F.col("nas").alias(f"n{n}"), F.col("tradition").alias(f"t{n}"), *keys)
+            for k in keys:
+                if k in "tp":
+                    x = x.withColumn(k, F.explode(k))
+                elif k == "b" and n == "a":
+                    x = x.withColumn(k, F.explode(F.array(F.col("b") - 1, "b", F.col("b") + 1)))
+            return x.dropna(subset=list(keys))
+
+        found.append(side("a").join(side("b"), list(keys)).filter("ta < tb").select("na", "nb"))
     pairs = reduce(DataFrame.unionByName, found).distinct()
     j = pairs.join(f.alias("a"), F.col("na") == F.col("a.nas")).join(f.alias("b"), F.col("nb") == F.col("b.nas"))
     return _score(j, leaf, branch, propp, least, delta)
@@ -87,51 +115,69 @@ def edges(f: DataFrame, leaf: float = 0.1, branch: float = 0.25, propp: float =
 def components(pairs: DataFrame, a: str = "member_a", b: str = "member_b", rounds: int = 60) -> DataFrame:
     """(nas, component): the least member of each connected component, by alternating large and small stars.
 
-    Each round joins every node to the least of its neighbours; the number of rounds grows with the
-    logarithm of a component's size. Lineage is cut by checkpoints, so losing executors is harmless."""
+    Each round joins every node to the least of its neighbours; the number of rounds grows with the logarithm of a
+    component's size, and labels that are not final after ``rounds`` are an error. Lineage is cut by written tables,
+    so losing executors is harmless."""
     e = pairs.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     e = cut(e)
+    mark = lambda x: tuple(x.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    was = mark(e)
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        new = cut(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        same = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() == e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        e = new
-        if same:
-            break
-    return e.select(F.col("u").alias("nas"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("nas"), F.col("v").alias("component"))).distinct()
+        e = cut(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        now = mark(e)
+        if now == was:
+            return e.select(F.col("u").alias("nas"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("nas"), F.col("v").alias("component"))).distinct()
+        was = now
+    raise RuntimeError(f"components have not settled in {rounds} rounds")
 
 
-def candidates(e: DataFrame, notes: DataFrame | None = None, oversized: int = 20) -> DataFrame:
-    """Components of two or more traditions, ranked; ``members`` joined by '|'.
+def _members(e: DataFrame, c: DataFrame) -> DataFrame:
+    m = e.select(F.col("member_a").alias("nas"), F.col("tradition_a").alias("tradition")).unionByName(e.select(F.col("member_b").alias("nas"), F.col("tradition_b").alias("tradition"))).distinct()
+    return m.join(c, "nas")
 
-    ``notes``: nas, track, note (null: a fixed phrase)."""
-    e = cut(e)
-    c = components(e)
-    member = e.select(F.col("member_a").alias("nas"), F.col("tradition_a").alias("tradition")).unionByName(e.select(F.col("member_b").alias("nas"), F.col("tradition_b").alias("tradition"))).distinct()
-    m = member.join(c, "nas").groupBy("component").agg(F.array_sort(F.collect_set("nas")).alias("members"), F.countDistinct("tradition").alias("tradition_count"))
+
+def _ranked(e: DataFrame, c: DataFrame, oversized: int) -> DataFrame:
+    """Components of two or more traditions with their figures, numbered; no members in the row."""
+    m = _members(e, c).groupBy("component").agg(F.countDistinct("nas").alias("n_members"), F.countDistinct("tradition").alias("tradition_count"))
     s = e.join(c.withColumnRenamed("nas", "member_a"), "member_a").groupBy("component").agg(
         F.count("*").alias("n_edges"), F.avg("qualifying_dimensions").alias("mean_dims"),
-        *(F.avg(F.col(x).cast("double")).alias(x) for x in ("tmi_jaccard_leaf", "tmi_jaccard_branch", "tmi_jaccard_root", "propp_overlap", "chronotope_match")),
+        *(F.bround(F.avg(F.col(x).cast("double")), 9).alias(x) for x in ("tmi_jaccard_leaf", "tmi_jaccard_branch", "tmi_jaccard_root", "propp_overlap", "chronotope_match")),
     )
-    out = m.join(s, "component").filter("tradition_count >= 2")
     dims = ["tmi_jaccard_leaf", "tmi_jaccard_branch", "tmi_jaccard_root", "propp_overlap", "chronotope_match"]
-    top = F.greatest(*dims)
-    primary = F.coalesce(*(F.when(F.col(x) == top, F.lit(x)) for x in dims))
-    out = out.select(
-        "component", F.array_join("members", "|").alias("members"), F.size("members").alias("n_members"), "tradition_count", "n_edges", (F.size("members") > oversized).alias("oversized"),
+    primary = F.coalesce(*(F.when(F.col(x) == F.greatest(*dims), F.lit(x)) for x in dims))
+    out = m.join(s, "component").filter("tradition_count >= 2").select(
+        "component", "n_members", "tradition_count", "n_edges", (F.col("n_members") > oversized).alias("oversized"),
         F.when(F.col("mean_dims") >= 2.8, "very_high").when(F.col("mean_dims") >= 2.0, "high").otherwise("moderate").alias("dimensional_agreement"), primary.alias("primary_dimension"),
     )
+    return number_rows(out, [F.desc("tradition_count"), F.desc("n_edges"), F.col("component")], "candidate_id", "C-%04d")
+
+
+def candidates(e: DataFrame, notes: DataFrame | None = None, oversized: int = 20) -> DataFrame:
+    """Components of two or more traditions, ranked; ``members`` joined by '|', for reading: ``candidate_members`` has them as rows.
+
+    ``notes``: nas, track, note (null: a fixed phrase)."""
+    e = cut(e)
+    c = cut(components(e))
+    out = _ranked(e, c, oversized)
+    listed = c.groupBy("component").agg(F.array_join(F.array_sort(F.collect_set("nas")), "|").alias("members"))
+    out = out.join(listed, "component")
     if notes is not None:
         text = F.concat(F.col("nas"), F.lit(" ["), F.col("track"), F.lit("]: "), F.coalesce("note", F.lit("methodology fit concern noted")))
         n = notes.join(c, "nas").groupBy("component").agg(F.array_sort(F.collect_list(F.struct("nas", "track", text.alias("t")))).alias("x"))
         out = out.join(n, "component", "left").withColumn("methodology_fit_note", cut_note(F.array_join(F.transform("x", lambda s: s["t"]), "\n"))).drop("x")
-    # candidates are few: one ordered numbering of the result
-    w = W.orderBy(F.desc("tradition_count"), F.desc("n_edges"), "component")
-    return out.withColumn("candidate_id", F.format_string("C-%04d", F.row_number().over(w))).drop("component")
+    return out.drop("component")
+
+
+def candidate_members(e: DataFrame, oversized: int = 20) -> DataFrame:
+    """(candidate_id, nas, tradition): a row a member, so that a component of any size is spread."""
+    e = cut(e)
+    c = cut(components(e))
+    return _members(e, c).join(_ranked(e, c, oversized).select("component", "candidate_id"), "component").select("candidate_id", "nas", "tradition")
 
 
 def pair_count(f: DataFrame) -> DataFrame:
@@ -140,38 +186,133 @@ def pair_count(f: DataFrame) -> DataFrame:
     return per.agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).cast("bigint").alias("n_pairs"))
 
 
-def parallels(vectors: DataFrame, e: DataFrame, threshold: float = 0.65, everything: bool = False) -> DataFrame:
+SCORED = "member_a string, member_b string, tradition_a string, tradition_b string, cos double, k int, tmi double, propp double, chrono boolean, poly double"
+BINS = "score double, n bigint, n_above bigint"
+
+
+def _blocks(column: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+
+
+def _block_products(vectors: DataFrame, e: DataFrame, schema: str, make: Callable, block: int) -> DataFrame:
+    """All cross-tradition pairs, a matrix product a pair of blocks: ``make`` gets the arrays of one and gives a table.
+
+    Vectors go to blocks by hash; a vector is sent once for each other block, and edges to the block pair of their
+    ends, so scored pairs are never shuffled. A task holds two blocks."""
+    v = vectors.filter(~F.contains(F.col("nas"), F.lit("/lacuna"))).select("nas", "tradition", unit(F.col("vector")).alias("u"))
+    n = max(1, v.count() // block + 1)
+    ids = F.sequence(F.lit(0), F.lit(n - 1))
+    left = v.withColumn("mine", _blocks("nas", n)).withColumn("other", F.explode(ids))
+    left = left.select(F.least("mine", "other").alias("bi"), F.greatest("mine", "other").alias("bj"), "mine", "nas", "tradition", "u")
+    a, b = _blocks("member_a", n), _blocks("member_b", n)
+    right = e.select(
+        F.least(a, b).alias("bi"), F.greatest(a, b).alias("bj"), "member_a", "member_b", F.col("qualifying_dimensions").cast("int").alias("k"), F.greatest(F.coalesce("tmi_jaccard_leaf", F.lit(0.0)), F.coalesce("tmi_jaccard_branch", F.lit(0.0))).alias("tmi"),
+        F.col("propp_overlap").alias("propp"), F.col("chronotope_match").alias("chrono"), F.coalesce("bakhtin_polyphony_delta", F.lit(0.0)).alias("poly"),
+    )
+
+    def product(x, y):
+        import numpy as np
+        import pyarrow as pa
+
+        empty = pa.Table.from_pylist([], schema=arrow)
+        if not x.num_rows:
+            return empty
+        first = np.min(x["mine"].to_numpy())
+        one = bool((x["mine"].to_numpy() == first).all())
+        names, trad = x["nas"].combine_chunks(), x["tradition"].combine_chunks()
+        code = trad.dictionary_encode()
+        order = np.argsort(np.argsort(np.array(code.dictionary.to_pylist(), object).astype(str)))
+        rank = order[code.indices.to_numpy(zero_copy_only=False)]
+        vec = x["u"].to_pylist()
+        size = np.array([0 if r is None else len(r) for r in vec])
+        m = np.zeros((len(vec), max(1, int(size.max()))))
+        for i, r in enumerate(vec):
+            if r is not None:
+                m[i, : len(r)] = r
+        rows = np.arange(len(vec)) if one else np.flatnonzero(x["mine"].to_numpy() == first)
+        cols = rows if one else np.flatnonzero(x["mine"].to_numpy() != first)
+        at = {s: i for i, s in enumerate(names.to_pylist())}
+        ea = np.array([at.get(s, -1) for s in y["member_a"].to_pylist()], np.int64)
+        eb = np.array([at.get(s, -1) for s in y["member_b"].to_pylist()], np.int64)
+        there = np.flatnonzero((ea >= 0) & (eb >= 0))
+        where = dict(zip((ea[there] * len(vec) + eb[there]).tolist(), there.tolist()))
+        cos = np.clip(m[rows] @ m[cols].T, 0.0, 1.0)
+        cos[size[rows][:, None] != size[cols][None, :]] = 0.0
+        keep = rank[rows][:, None] != rank[cols][None, :]
+        if one:
+            keep = np.triu(keep, 1)
+        i, j = np.nonzero(keep)
+        p, q = rows[i], cols[j]
+        swap = rank[p] > rank[q]
+        p, q, c = np.where(swap, q, p), np.where(swap, p, q), cos[i, j]
+        # the edge of each pair, -1 where there is none
+        key = p * len(vec) + q
+        held = np.array(sorted(where), np.int64)
+        edge = np.full(len(key), -1, np.int64)
+        if len(held):
+            spot = np.minimum(np.searchsorted(held, key), len(held) - 1)
+            hit = held[spot] == key
+            edge[hit] = np.array([where[k] for k in held.tolist()], np.int64)[spot[hit]]
+        return make(names, trad, p, q, c, edge, y).cast(arrow)
+
+    fields = [f.split(" ") for f in schema.split(", ")]
+    import pyarrow as pa
+
+    kinds = {"string": pa.string(), "double": pa.float64(), "int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_()}
+    arrow = pa.schema([(n, kinds[t]) for n, t in fields])
+    return left.groupBy("bi", "bj").cogroup(right.groupBy("bi", "bj")).applyInArrow(product, schema)
+
+
+def _scored(names, trad, p, q, cos, edge, y):
+    import pyarrow as pa
+
+    at = pa.array(edge, mask=edge < 0)
+    return pa.table([names.take(pa.array(p)), names.take(pa.array(q)), trad.take(pa.array(p)), trad.take(pa.array(q)), pa.array(cos), *(y[c].combine_chunks().take(at) for c in ("k", "tmi", "propp", "chrono", "poly"))], names=[f.split(" ")[0] for f in SCORED.split(", ")])
+
+
+def parallels(vectors: DataFrame, e: DataFrame, threshold: float = 0.65, everything: bool = False, block: int = 1024) -> DataFrame:
     """Pairs with score 0.5 * k / 4 + 0.5 * cosine, k the edge's dimensions.
 
     ``vectors``: nas, tradition, vector. Without an edge a score can't pass 0.5, so above that threshold vectors
-    are joined to the edges only; ``everything`` scores all cross pairs, which is quadratic by contract."""
-    v = vectors.filter(~F.contains(F.col("nas"), F.lit("/lacuna"))).select("nas", "tradition", unit(F.col("vector")).alias("u"))
-    if everything or threshold <= 0.5:
-        p = v.alias("a").join(v.alias("b"), F.col("a.tradition") < F.col("b.tradition")).select(
-            F.col("a.nas").alias("member_a"), F.col("b.nas").alias("member_b"), F.col("a.tradition").alias("tradition_a"), F.col("b.tradition").alias("tradition_b"), F.col("a.u").alias("ua"), F.col("b.u").alias("ub")
-        )
-        p = p.join(e.drop("tradition_a", "tradition_b"), ["member_a", "member_b"], "left")
+    are joined to the edges only; ``everything`` scores all cross pairs in blocks, which is quadratic by contract."""
+    z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    whole = everything or threshold <= 0.5
+    if whole:
+        p = _block_products(vectors, e, SCORED, _scored, block)
     else:
+        v = vectors.filter(~F.contains(F.col("nas"), F.lit("/lacuna"))).select("nas", unit(F.col("vector")).alias("u"))
         x, y = (v.select(F.col("nas").alias(f"member_{s}"), F.col("u").alias(f"u{s}")) for s in "ab")
-        p = e.join(x, "member_a").join(y, "member_b")
-    k = F.coalesce("qualifying_dimensions", F.lit(0))
-    p = p.withColumn("cos", cosine_units(F.col("ua"), F.col("ub"))).withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(0.5) * (k / 4) + F.lit(0.5) * F.col("cos"))))
-    z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+        p = e.join(x, "member_a").join(y, "member_b").select(
+            "member_a", "member_b", "tradition_a", "tradition_b", cosine_units(F.col("ua"), F.col("ub")).alias("cos"), F.col("qualifying_dimensions").alias("k"), F.greatest(z("tmi_jaccard_leaf"), z("tmi_jaccard_branch")).alias("tmi"),
+            F.col("propp_overlap").alias("propp"), F.col("chronotope_match").alias("chrono"), z("bakhtin_polyphony_delta").alias("poly"),
+        )
+    k = F.coalesce("k", F.lit(0))
+    p = p.withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(0.5) * (k / 4) + F.lit(0.5) * F.col("cos"))))
     out = p.select(
         "member_a", "member_b", "tradition_a", "tradition_b", k.alias("framework_match_count"), F.bround("cos", 4).alias("cosine_similarity"), F.bround("score", 4).alias("parallel_score"),
-        (F.col("score") >= threshold).alias("meets_threshold"), F.greatest(z("tmi_jaccard_leaf"), z("tmi_jaccard_branch")).alias("tmi_score"), z("propp_overlap").alias("propp_score"),
-        F.coalesce(F.col("chronotope_match"), F.lit(False)).cast("double").alias("chronotope_score"), z("bakhtin_polyphony_delta").alias("polyphony_score"),
+        (F.col("score") >= threshold).alias("meets_threshold"), z("tmi").alias("tmi_score"), z("propp").alias("propp_score"), F.coalesce("chrono", F.lit(False)).cast("double").alias("chronotope_score"), z("poly").alias("polyphony_score"),
     )
-    return out if everything or threshold <= 0.5 else out.filter("meets_threshold")
+    return out if whole else out.filter("meets_threshold")
 
 
-def parallel_report(p: DataFrame) -> DataFrame:
-    """Distribution of all scores."""
-    q = lambda x: F.bround(F.percentile("parallel_score", F.lit(x)), 4)
-    return p.agg(
-        F.count("*").alias("n_pairs"), F.count_if("meets_threshold").alias("n_above"), F.bround(F.min("parallel_score"), 4).alias("min_score"), q(0.5).alias("median_score"), q(0.9).alias("p90_score"),
-        F.bround(F.max("parallel_score"), 4).alias("max_score"),
-    )
+def parallel_report(vectors: DataFrame, e: DataFrame, threshold: float = 0.65, block: int = 1024) -> DataFrame:
+    """Distribution of the scores of all pairs, rounded to four digits: block pairs give counts of the rounded scores,
+    which add up, so no pair leaves its task and the percentiles are exact."""
+
+    def bins(names, trad, p, q, cos, edge, y):
+        import numpy as np
+        import pyarrow as pa
+
+        k = np.where(edge >= 0, np.append(y["k"].to_numpy(), 0)[edge], 0)
+        score = np.clip(0.5 * (k / 4) + 0.5 * cos, 0.0, 1.0)
+        at = np.rint(score * 10_000).astype(np.int64)
+        n, above = np.bincount(at, minlength=10_001), np.bincount(at[score >= threshold], minlength=10_001)
+        some = np.flatnonzero(n)
+        return pa.table([pa.array(some / 10_000.0), pa.array(n[some].astype(np.int64)), pa.array(above[some].astype(np.int64))], names=["score", "n", "n_above"])
+
+    g = _block_products(vectors, e, BINS, bins, block).groupBy("score").agg(F.sum("n").alias("n"), F.sum("n_above").alias("n_above"))
+    q = lambda x: F.bround(F.percentile("score", F.lit(x), F.col("n")), 4)
+    return g.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs"), F.coalesce(F.sum("n_above"), F.lit(0)).alias("n_above"), F.min("score").alias("min_score"), q(0.5).alias("median_score"), q(0.9).alias("p90_score"), F.max("score").alias("max_score"))
 
 
 def pairs_by_tradition(p: DataFrame) -> DataFrame:
@@ -179,58 +320,63 @@ def pairs_by_tradition(p: DataFrame) -> DataFrame:
     return p.filter("meets_threshold").groupBy(label.alias("pair")).agg(F.count("*").alias("n"))
 
 
-def number_pairs(p: DataFrame) -> DataFrame:
-    """Adds ``parallel_id`` in (member_a, member_b) order; ranges are sorted apart and offset, so no single task sees all."""
-    n = max(1, int(p.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    s = cut(p.repartitionByRange(n, "member_a", "member_b").sortWithinPartitions("member_a", "member_b").withColumn("part", F.spark_partition_id()).withColumn("seq", F.monotonically_increasing_id()))
+def number_rows(df: DataFrame, order: list[Column], name: str, form: str) -> DataFrame:
+    """Adds numbers in that order from 1; ranges are sorted apart and offset, so no single task sees all."""
+    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    s = cut(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()).withColumn("seq", F.monotonically_increasing_id()))
     sizes = sorted((r["part"], r["k"], r["lo"]) for r in s.groupBy("part").agg(F.count("*").alias("k"), F.min("seq").alias("lo")).collect())  # a row a partition
     base, rows = 0, []
     for part, k, lo in sizes:
         rows.append((part, base - lo))
         base += k
-    off = p.sparkSession.createDataFrame(rows or [(0, 0)], "part int, off bigint")
-    return s.join(F.broadcast(off), "part").withColumn("parallel_id", F.format_string("P-%04d", F.col("seq") + F.col("off") + 1)).drop("part", "seq", "off")
-
-
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = 2048) -> DataFrame:
-    """(query_nas, nas, similarity, rank): the k most similar of all vectors for each query, exact.
-
-    Queries go round in bounded blocks against every partition of the vectors; each partition keeps k, and
-    the partitions' lists are merged. No pair is shuffled."""
-    import numpy as np
-    import pandas as pd
-
-    q = queries.select("nas", unit(F.col("vector")).alias("u")).filter("u is not null")
-    q = cut(q.withColumn("block", F.pmod(F.xxhash64("nas"), F.lit(max(1, q.count() // block + 1))).cast("int")))
-    blocks = sorted(r[0] for r in q.select("block").distinct().collect())
-    v = vectors.select("nas", unit(F.col("vector")).alias("u")).filter("u is not null")
-    parts = []
-    for b in blocks:
-        rows = q.filter(F.col("block") == b).select("nas", "u").toPandas()  # a stated block of queries
-        names, mat = rows["nas"].to_numpy(object), np.array(rows["u"].tolist())
-        held = v.sparkSession.sparkContext.broadcast((names, mat))
-
-        def run(batches, held=held):
-            names, mat = held.value
-            best: dict = {}
-            for pdf in batches:
-                if not len(pdf):
-                    continue
-                x = np.array(pdf["u"].tolist())
-                if x.shape[1] != mat.shape[1]:
+    off = df.sparkSession.createDataFrame(rows or [(0, 0)], "part int, off bigint")
+    return s.join(F.broadcast(off), "part").withColumn(name, F.format_string(form, F.col("seq") + F.col("off") + 1)).drop("part", "seq", "off")
+
+
+def number_pairs(p: DataFrame) -> DataFrame:
+    """Adds ``parallel_id`` in (member_a, member_b) order."""
+    return number_rows(p, [F.col("member_a"), F.col("member_b")], "parallel_id", "P-%04d")
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = 16_384) -> DataFrame:
+    """(query_nas, nas, similarity, rank): the k most similar of all vectors for each query, exact; ties go by ``nas``.
+
+    Queries and vectors meet in pairs of bounded blocks. Each pair keeps k a query, all that tie with the k-th looked
+    at, and these lists are merged; no scored pair is shuffled and nothing goes to the driver."""
+    found = "query_nas string, nas string, similarity double"
+    q = cut(queries.select("nas", unit(F.col("vector")).alias("u")).filter("u is not null"))
+    v = cut(vectors.select("nas", unit(F.col("vector")).alias("u")).filter("u is not null"))
+    nq, nv = (max(1, x.count() // block + 1) for x in (q, v))
+    left = q.withColumn("bi", _blocks("nas", nq)).withColumn("bj", F.explode(F.sequence(F.lit(0), F.lit(nv - 1))))
+    right = v.withColumn("bj", _blocks("nas", nv)).withColumn("bi", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+
+    def run(a, b):
+        import numpy as np
+        import pandas as pd
+
+        out = []
+        if len(a) and len(b):
+            who = b["nas"].to_numpy(object)
+            by_name = np.argsort(who.astype(str), kind="stable")
+            b, who = b.iloc[by_name], who[by_name]
+            size = b["u"].str.len().to_numpy()
+            for d, asked in a.groupby(a["u"].str.len()):
+                cols = np.flatnonzero(size == d)
+                if not len(cols):
                     continue
-                sim = np.clip(mat @ x.T, 0, 1)
-                who = pdf["nas"].to_numpy(object)
-                take = min(k + 1, sim.shape[1])
-                at = np.argpartition(-sim, take - 1, axis=1)[:, :take] if take < sim.shape[1] else np.tile(np.arange(sim.shape[1]), (len(names), 1))
-                for i, cols in enumerate(at):
-                    lot = best.get(i, []) + [(-float(sim[i, j]), who[j]) for j in cols if who[j] != names[i]]
-                    best[i] = sorted(lot)[:k]
-            yield pd.DataFrame([(names[i], n, -s) for i, lot in best.items() for s, n in lot], columns=["query_nas", "nas", "similarity"])
-
-        parts.append(v.mapInPandas(run, "query_nas string, nas string, similarity double"))
-    if not parts:
-        return q.sparkSession.createDataFrame([], "query_nas string, nas string, similarity double, rank int")
-    all_ = reduce(DataFrame.unionByName, parts)
+                y = np.array(b["u"].iloc[cols].tolist())
+                for start in range(0, len(asked), 512):
+                    part = asked.iloc[start : start + 512]
+                    sim = np.clip(np.array(part["u"].tolist()) @ y.T, 0, 1)
+                    for name, row in zip(part["nas"], sim):
+                        at = np.arange(len(cols))
+                        if len(cols) > k + 1:
+                            low = np.partition(row, len(cols) - k - 1)[len(cols) - k - 1]
+                            at = np.flatnonzero(row >= low)
+                        at = at[np.argsort(-row[at], kind="stable")][: k + 1]  # names are in order, so ties are too
+                        out += [(name, who[cols[j]], float(row[j])) for j in at if who[cols[j]] != name][:k]
+        return pd.DataFrame(out, columns=["query_nas", "nas", "similarity"])
+
+    lists = left.groupBy("bi", "bj").cogroup(right.groupBy("bi", "bj")).applyInPandas(run, found)
     w = W.partitionBy("query_nas").orderBy(F.desc("similarity"), "nas")
-    return all_.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return lists.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

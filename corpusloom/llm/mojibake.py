@@ -297,9 +297,11 @@ def undo_legacy(text: str, model: Bigrams, least: float) -> tuple[float, str, st
         looked = model.each(look)
         able = np.flatnonzero(_OK[:, np.unique(look[look > 127])].any(1))
         for block in np.array_split(able, max(1, len(able) * len(look) // 2_000_000)):
-            new = np.where(_OK[block[:, None], look], _TO[block[:, None], look], look)
-            gain = np.pad(looked - model.each(new), ((0, 0), (0, 1)))
-            sums = np.pad(np.cumsum(np.add.reduceat(gain, word_at, axis=1), axis=1), ((0, 0), (1, 0)))
+            can = _OK[block[:, None], look]
+            gain = np.pad(looked - model.each(np.where(can, _TO[block[:, None], look], look)), ((0, 0), (0, 1)))
+            words = np.add.reduceat(gain, word_at, axis=1) - 2.0
+            words[np.add.reduceat(~can, word_at, axis=1, dtype=np.int32) > 0] = -30.0
+            sums = np.pad(np.cumsum(words, axis=1), ((0, 0), (1, 0)))
             best_run = (sums - np.minimum.accumulate(sums, axis=1)).max(1)
             worth |= {_PAIRS[k] for k in block[best_run > 8]}
     for read, meant in LEGACY:

@@ -1,9 +1,10 @@
 """All similar pairs of set-valued records by pigeonhole partitioning.
 
 Two sets of sizes a <= b with intersection / union >= t differ in at most
-H = (1-t)/(1+t)(a+b) values. The value universe is hashed into m(H) segments; by the pigeonhole
-principle some segment differs in at most its share of H. Equal segments and segments that
-differ in one value (one-deletion signatures) are joined on their hashes. The side that
+H = (1-t)/(1+t)(a+b) values. Sizes fall into groups that grow by a factor, so that a set has few
+partner groups and its signatures grow with its size; for a pair of groups the value universe is
+hashed into m(H) segments. By the pigeonhole principle some segment differs in at most its share of H.
+Equal segments and segments that differ in one value (one-deletion signatures) are joined on their hashes. The side that
 probes chooses per segment whether to skip it, want it equal or allow one difference, so that
 frequent signatures (values in a third of the records, empty segments) are avoided; the sum of
 what it allows always covers H. Every candidate is verified on the sets."""
@@ -33,10 +34,49 @@ def n_segments(apart: int) -> int:
     return max(1, apart // 2 + 1) if apart < 2 else apart // 2 + 2
 
 
+GROWTH = 1.15  # by which the sizes of a group may differ
+
+
+@lru_cache(None)
+def group_of(size: int) -> tuple[int, int]:
+    """Least and most size of the group of a size; small sizes are groups of their own."""
+    low = 1
+    while True:
+        high = max(low, int(low * GROWTH))
+        if size <= high:
+            return low, high
+        low = high + 1
+
+
+@lru_cache(None)
+def segments_of(small: tuple[int, int], large: tuple[int, int], t: float) -> tuple[int, bool]:
+    """(segments, whether any value may differ) for a pair of groups: enough for the sizes that may differ most."""
+    most = max(most_apart(a, b, t) for a in range(small[0], small[1] + 1) for b in range(max(a, large[0]), large[1] + 1))
+    return n_segments(most), most > 0
+
+
 @lru_cache(None)
-def partners(size: int, t: float) -> tuple[tuple[int, int], ...]:
-    """(smaller size, difference) for each size of a probing set that can match one of ``size``."""
-    return tuple((a, most_apart(a, size, t)) for a in range(int(np.ceil(t * size - 1e-9)), size + 1) if a > 0 and most_apart(a, size, t) >= 0)
+def below(b: int, t: float) -> tuple[tuple[int, int], ...]:
+    """Groups of sets that a set of size b may match as the larger one."""
+    least, out, a = max(1, int(np.ceil(t * b - 1e-9))), [], b
+    while a >= least:
+        g = group_of(a)
+        ok = [most_apart(x, b, t) for x in range(max(least, g[0]), min(b, g[1]) + 1)]
+        if ok and max(ok) >= 0:
+            out.append(g)
+        a = g[0] - 1
+    return tuple(out)
+
+
+@lru_cache(None)
+def above(a: int, t: float) -> tuple[tuple[tuple[int, int], int], ...]:
+    """(group, most that differ) for the groups that a set of size a may match as the smaller one."""
+    out, b = [], a
+    while most_apart(a, b, t) >= 0:
+        g = group_of(b)
+        out.append((g, max(most_apart(a, x, t) for x in range(max(a, g[0]), g[1] + 1))))
+        b = g[1] + 1
+    return tuple(out)
 
 
 def _h(*x) -> int:
@@ -58,30 +98,28 @@ def _variants(seg: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
 
 def index_signatures(values: np.ndarray, t: float) -> Iterator[tuple[int, int]]:
     """(signature, kind) of a set as the larger one: kind 0 whole segments, 1 one-deletions."""
-    b = len(values)
-    for a, apart in partners(b, t):
-        m = n_segments(apart)
+    mine = group_of(len(values))
+    for g in below(len(values), t):
+        m, differ = segments_of(g, mine, t)
         for i, seg in enumerate(_segments(values, m)):
-            yield _h(a, b, i, seg), 0
-            if apart > 0:
+            yield _h(g[0], mine[0], i, seg), 0
+            if differ:
                 for v in _variants(seg):
-                    yield _h(a, b, i, v), 1
+                    yield _h(g[0], mine[0], i, v), 1
 
 
 def probe_options(values: np.ndarray, t: float) -> Iterator[tuple[int, int, int, int, int]]:
-    """(b, apart, segment, signature, kind) of a set as the smaller one, for each partner size.
+    """(group, apart, segment, signature, kind) of a set as the smaller one, for each partner group.
 
     kind 0: the whole segment; 1: its one-deletions."""
-    a = len(values)
-    b = a
-    while most_apart(a, b, t) >= 0:
-        apart = most_apart(a, b, t)
-        for i, seg in enumerate(_segments(values, n_segments(apart))):
-            yield b, apart, i, _h(a, b, i, seg), 0
-            if apart > 0:
+    mine = group_of(len(values))
+    for g, apart in above(len(values), t):
+        m, differ = segments_of(mine, g, t)
+        for i, seg in enumerate(_segments(values, m)):
+            yield g[0], apart, i, _h(mine[0], g[0], i, seg), 0
+            if differ:
                 for v in _variants(seg):
-                    yield b, apart, i, _h(a, b, i, v), 1
-        b += 1
+                    yield g[0], apart, i, _h(mine[0], g[0], i, v), 1
 
 
 def choose(apart: int, cost0: list[float], cost1: list[float]) -> list[int]:
@@ -121,7 +159,7 @@ def similar_pairs(sets: DataFrame, threshold: float = 0.6) -> DataFrame:
     slim = base.select("rep", "hs")
     idx = cut(slim.mapInPandas(index, "rep bigint, sig bigint, kind int"))
     freq = idx.groupBy("sig").agg(F.count_if(F.col("kind") == 0).alias("f0"), F.count_if(F.col("kind") == 1).alias("f1"))
-    opt = slim.mapInPandas(options, "rep bigint, b int, apart int, seg int, sig bigint, kind int")
+    opt = cut(slim.mapInPandas(options, "rep bigint, b int, apart int, seg int, sig bigint, kind int"))
     # what each option would cost: an equal segment meets whole segments; one difference meets also one-deletions
     priced = opt.join(freq, "sig", "left").na.fill(0, ["f0", "f1"])
     per_seg = priced.groupBy("rep", "b", "apart", "seg").agg(
@@ -144,13 +182,13 @@ def similar_pairs(sets: DataFrame, threshold: float = 0.6) -> DataFrame:
     i = idx.select(F.col("rep").alias("other"), "sig", F.col("kind").alias("ik"))
     # equal: whole on whole; one difference: also a deletion on a whole, and both deleted
     cand = (
-        chosen.join(i, "sig")
+        chosen.join(i.hint("merge"), "sig")
         .filter((F.col("rep") != F.col("other")) & (F.col("ik") <= F.col("pick")))
         .select(F.least("rep", "other").alias("rep_a"), F.greatest("rep", "other").alias("rep_b"))
         .distinct()
     )
-    a, b = (base.select(F.col("rep").alias(f"rep_{x}"), F.col("hs").alias(f"h_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-    both = F.size(F.array_intersect("h_a", "h_b"))
+    a, b = (base.select(F.col("rep").alias(f"rep_{x}"), F.col("codes").alias(f"c_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+    both = F.size(F.array_intersect("c_a", "c_b"))  # the codes themselves, not their hashes
     sim = both / (F.col("n_a") + F.col("n_b") - both)
     return cand.join(a, "rep_a").join(b, "rep_b").select("rep_a", "rep_b", sim.alias("similarity")).filter(F.col("similarity") >= threshold)
 

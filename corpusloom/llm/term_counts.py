@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.address import canon_tmi
 
-HEAVY_ITEMS = 1024  # bound of the broadcast
+HEAVY_ITEMS = 256  # bound of the broadcast
 TALLY = "term string, n_occurrences bigint, n_records bigint"
 
 
@@ -32,8 +32,8 @@ def term_counts(records: DataFrame, key: str, terms: str, canon=None, heavy_item
     arr = F.filter(F.transform("raw", canon), lambda x: x.isNotNull())
     rows = one.select(F.explode(arr).alias("term"), F.col("k"))
     per_task = rows.select("term")
-    found = per_task.agg(F.expr(f"approx_top_k(term, {heavy_items // 4}, {heavy_items * 8})").alias("top"))
-    top = found.select(F.explode("top")).select("col.item").filter("item is not null").collect()  # at most heavy_items // 4 terms
+    found = per_task.agg(F.expr(f"approx_top_k(term, {heavy_items}, {heavy_items * 32})").alias("top"))
+    top = found.select(F.explode("top")).select("col.item").filter("item is not null").collect()  # at most heavy_items terms
     heavy = sorted({r[0] for r in top})
     index = pa.array(heavy, pa.string())
     lists = one.select(arr.alias("terms")).filter(F.size("terms") > 0)
@@ -60,12 +60,9 @@ def term_counts(records: DataFrame, key: str, terms: str, canon=None, heavy_item
         if some.any():
             yield pa.RecordBatch.from_arrays([index.filter(pa.array(some)), pa.array(occ[some]), pa.array(rec[some])], ["term", "n_occurrences", "n_records"])
 
-    tallied = lists.mapInArrow(tally, TALLY)
-    names = F.broadcast(records.sparkSession.createDataFrame([(h,) for h in heavy], "term string"))
+    # the union of both tables, each term from one of them: a row a task for the heavy terms, the rest shuffled
     sums = [F.sum("n_occurrences").alias("n_occurrences"), F.sum("n_records").alias("n_records")]
-    heavy_table = tallied.join(names, "term", "left_semi").groupBy("term").agg(*sums)  # a row a task and heavy term
-    light_table = tallied.join(names, "term", "left_anti").groupBy("term").agg(*sums)
-    return heavy_table.unionByName(light_table)
+    return lists.mapInArrow(tally, TALLY).groupBy("term").agg(*sums)
 
 
 def mark(counts: DataFrame, n_records: int, rare_below: int = 3, common_above: float = 0.1) -> DataFrame:

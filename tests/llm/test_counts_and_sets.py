@@ -52,3 +52,20 @@ def test_pairs_by_brute_force(spark):
 def test_many_copies(spark):
     df = spark.createDataFrame([(i, ["TMI-J1"], [], "", "") for i in range(300)], FEAT)
     assert set_join.similar_records(df).count() == 300 * 299 // 2 and set_join.set_classes(df).select("class_id").distinct().count() == 1
+
+
+def test_long_sets(spark):
+    rnd = random.Random(4)
+    rows, sets = [], {}
+    for i in range(60):
+        if i % 3:
+            base = set(sets[i - i % 3])
+            for _ in range(rnd.randrange(70)):
+                base ^= {f"TMI-B{rnd.randrange(400)}"}
+        else:
+            base = {f"TMI-B{rnd.randrange(400)}" for _ in range(200 + rnd.randrange(60))}
+        sets[i] = base
+        rows.append((i, sorted(base), None, "", ""))
+    got = {(r[0], r[1]) for r in set_join.similar_records(spark.createDataFrame(rows, FEAT)).collect()}
+    assert got == brute(sets, 0.6) and got
+    assert sum(1 for _ in set_join.index_signatures(list(range(200)), 0.6)) < 200 * 8

@@ -84,7 +84,7 @@ def find_orphans(refs: DataFrame, parents: DataFrame, rows_per_range: int = 50_0
         .distinct()
     )
     par = cut(par)
-    n_ranges = max(1, min(4096, par.count() // rows_per_range + 1))
+    n_ranges = max(1, par.count() // rows_per_range + 1)
     packed = cut(par.repartitionByRange(n_ranges, "k").sortWithinPartitions("k", "s", "e").mapInPandas(_pack, PACK_SCHEMA))
     # one lower bound a range: at most n_ranges strings
     bounds = sorted(r["lo"] for r in packed.select("lo").collect())
@@ -98,6 +98,7 @@ def find_orphans(refs: DataFrame, parents: DataFrame, rows_per_range: int = 50_0
         F.col("table_name"), F.col("record_id").cast("bigint").alias("record_id"), F.col("field_name"), canon_nas(F.col("ref_nas")).alias("k"), F.col("t")
     ).filter("k is not null")
     r = r.withColumn("t_us", us("t", 0)).withColumn("rid", range_of("k") if len(bounds) > 1 else F.lit(0))
+    r = cut(r)  # counted by range first, then probed
     per_range = r.groupBy("rid").count().withColumn("salts", (F.col("count") / rows_per_batch).cast("int") + 1).drop("count")
     salts = F.broadcast(per_range)  # at most n_ranges rows
     r = r.join(salts, "rid").withColumn("salt", F.pmod(F.xxhash64("record_id", "k", "field_name"), F.col("salts")).cast("int")).drop("salts")

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from ..session import cut
 from .tokenize import count_tokens
 
+MOST_ITEMS = 50_000  # items of a window, so that empty ones don't fill a task's memory
+
 PACKED = "item_id bigint, container_kind string, container string, part int, token_start bigint, token_end bigint, open boolean, used bigint"
 
 
@@ -42,10 +44,11 @@ class Windows:
             self.made += 1
         if room > size or size == 0:
             insort(self.room, (room - size, number))
-        else:
-            closed = closed if closed is not None else None
         return number, closed
 
+    def drop(self, number: int) -> None:
+        self.room = [x for x in self.room if x[1] != number]
+
 
 def _pieces(size: int, capacity: int) -> Iterator[tuple[int, int, int]]:
     """(part, start, end): one piece, or full ones and a rest where the item exceeds the capacity."""
@@ -88,6 +91,9 @@ def pack(sizes: DataFrame, capacities: dict[str, int], windows: int = 64, merge_
                             close(k, closed)
                         if used[k, number] == w.capacity and b > a:
                             close(k, number)
+                        elif len(held[k, number]) >= MOST_ITEMS:
+                            w.drop(number)
+                            close(k, number)
             if len(out) > 20_000:
                 yield pd.DataFrame(out, columns=COLS)
                 out.clear()
@@ -126,7 +132,9 @@ def pack_documents(documents: DataFrame, container_sizes: DataFrame, path: str |
     return pack(sizes, kinds, windows).withColumnRenamed("item_id", "doc_id")
 
 
-def fill_report(packed: DataFrame) -> DataFrame:
-    """Containers, tokens and mean fill of each kind."""
+def fill_report(packed: DataFrame, container_sizes: DataFrame) -> DataFrame:
+    """Containers, tokens and mean fill of each kind; ``container_sizes``: container_kind, capacity_tokens."""
     c = packed.select("container_kind", "container", "used").distinct()
-    return c.groupBy("container_kind").agg(F.count("*").alias("n_containers"), F.sum("used").alias("n_tokens"))
+    g = c.groupBy("container_kind").agg(F.count("*").alias("n_containers"), F.sum("used").alias("n_tokens"))
+    sizes = F.broadcast(container_sizes.select("container_kind", "capacity_tokens").distinct())  # a fixed, tiny table
+    return g.join(sizes, "container_kind").select("container_kind", "n_containers", "n_tokens", F.bround(F.col("n_tokens") / F.col("n_containers") / F.col("capacity_tokens"), 6).alias("mean_fill"))

@@ -26,8 +26,9 @@ QUERIES = {
     "p10_found": lambda s, d: mojibake.repair_documents(table(s, d, "documents")).select("doc_id"),
     "p10_repair": lambda s, d: mojibake.repair_documents(table(s, d, "documents")),
     "p8_ids": lambda s, d: tokenize.encode(table(s, d, "documents")),
+    "p8_decoded": lambda s, d: tokenize.decode(tokenize.encode(table(s, d, "documents"))),
     "p9_pack": lambda s, d: packing.pack_documents(table(s, d, "documents"), table(s, d, "container_sizes")),
-    "p9_report": lambda s, d: packing.fill_report(packing.pack_documents(table(s, d, "documents"), table(s, d, "container_sizes"))),
+    "p9_report": lambda s, d: packing.fill_report(packing.pack_documents(table(s, d, "documents"), table(s, d, "container_sizes")), table(s, d, "container_sizes")),
 }
 
 _CODE = r"upper(regexp_replace(x,'\s+','','g'))"
@@ -50,6 +51,11 @@ b AS (SELECT x.id AS a, y.id AS b, count(*) AS k FROM s x JOIN s y ON x.code = y
 SELECT a AS feature_id_a, b AS feature_id_b FROM b JOIN n p ON p.id = a JOIN n q ON q.id = b WHERE k >= 0.6 * (p.n + q.n - k)
 """
 ORACLES = {
+    "p7_classes": f"""WITH pr AS ({_PAIRS}), cs AS (SELECT id, list(code ORDER BY code) AS k FROM (
+  SELECT feature_id AS id, {_TMI} AS code FROM (SELECT feature_id, unnest(tmi_codes) AS x FROM fragment_features) UNION SELECT feature_id, {_PROPP} FROM (SELECT feature_id, unnest(propp_codes) AS x FROM fragment_features)) WHERE code IS NOT NULL GROUP BY 1),
+rp AS (SELECT id, k, min(id) OVER (PARTITION BY k) AS rep FROM cs), ln AS (SELECT feature_id_a AS a, feature_id_b AS b FROM pr UNION ALL SELECT feature_id_b, feature_id_a FROM pr)
+SELECT id AS feature_id, rep AS class_id, (SELECT count(DISTINCT y.rep) FROM ln JOIN rp y ON y.id = ln.b WHERE ln.a = rp.id AND y.rep <> rp.rep) AS n_links FROM rp""",
+    "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     "p2_counts": _COUNTS,
     "p2_found": f"SELECT tmi_code, mark FROM ({_COUNTS}) WHERE mark IS NOT NULL",
     "p7_found": _PAIRS,

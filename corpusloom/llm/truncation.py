@@ -21,6 +21,7 @@ from . import logistic
 
 DIMS = 1 << 14
 SAMPLE = 24_000  # bound of the labelled rows of the classifier
+LONGEST = 20_000  # labelled rows are made of texts shorter than that; every text is scored
 
 #: Marks that close a sentence, brackets and quotations in the scripts at hand.
 STOPS = ".!?。！？।॥؟;՞።"
@@ -109,36 +110,37 @@ def _cuts(text: str, rng: np.random.Generator) -> str | None:
 def score_truncation(content: DataFrame, reports: DataFrame, sample: int = SAMPLE, seed: int = 11) -> DataFrame:
     """(content_id, source_file, score, cut) for all records.
 
-    A record counts once however often it is repeated (the greatest body of its rows is taken).
+    A record counts once however often it is repeated (of its rows the one with the longest body is taken).
     Null and blank bodies are no cases: score null, not cut. A record without a run has a null source,
-    which counts as one source. ``sample`` bounds the classifier's labelled rows: texts that end well
+    which counts as one source. ``sample`` bounds the classifier's labelled rows: texts of less than ``LONGEST`` characters that end well
     as negatives, the same texts cut as positives; lengths and limits are of all records.
     No rows, or none that end well, give no cut records. Other columns are dropped."""
     spark = content.sparkSession
     src = reports.groupBy("run_id").agg(F.max("source_file").alias("source"))
-    one = content.groupBy("content_id").agg(F.max("body").alias("body"), F.max("run_id").alias("run_id"), F.max(norm_locale(F.col("locale"))).alias("lang"))
-    d = one.join(src, "run_id", "left").select(
-        "content_id", "source", F.coalesce("lang", F.lit("")).alias("lang"), "body", F.length("body").alias("n"), F.coalesce(F.col("body").rlike(r"\S"), F.lit(False)).alias("some")
-    )
-    d = cut(d)
-    limits = _limits(d.select("source", "n"))
-    with_limit = d.join(limits, ["source", "n"], "left").fillna(0.0, ["share"])
+    rows_ = content.select("content_id", "body", F.length("body").alias("n"), F.xxhash64("body").alias("h"), "run_id", F.coalesce(norm_locale(F.col("locale")), F.lit("")).alias("lang"))
+    pick = ["n", "h", "run_id", "lang"]
+    # lengths and sources first, without the bodies: these are shuffled once only, on their key
+    slim = cut(rows_.groupBy("content_id").agg(F.max(F.struct(*pick)).alias("x")).select("content_id", "x.*").join(src, "run_id", "left").select("content_id", "source", "n"))
+    n_all = slim.count()
+    if n_all == 0:
+        return spark.createDataFrame([], "content_id bigint, source_file string, score double, cut boolean")
+    share = slim.join(_limits(slim), ["source", "n"], "left").select("content_id", "source", F.coalesce("share", F.lit(0.0)).alias("share"))
+    one = rows_.groupBy("content_id").agg(F.max(F.struct(*pick, "body")).alias("x")).select("content_id", "x.lang", "x.body")
+    d = cut(one.join(share, "content_id").withColumn("some", F.coalesce(F.col("body").rlike(r"\S"), F.lit(False))))
     whole = F.regexp_replace("body", r"\s+$", "")
     ends = F.substring(whole, -1, 1)
     closed = ends.isin(*STOPS, *CLOSERS) | F.col("lang").isin("th", "lo", "km", "my")
     # closing remarks without a stop, and furniture, count as intact where many records end alike
     tail = F.regexp_replace(F.element_at(F.split(F.substring(whole, -60, 60), r"[.!?\]»”\n]\s*"), -1), r"[\dIVXLCDMivxlcdm]+", "9")
-    n_all = d.count()
-    if n_all == 0:
-        return spark.createDataFrame([], "content_id bigint, source_file string, score double, cut boolean")
     least = max(5, n_all // 5000)
     # a remark has three words or is furniture; a lone last word or an open bracket is what cuts leave
     remark = (tail.rlike(r"^\S+\s+\S+\s+\S+") & ~tail.rlike(r"[\[(<]")) | tail.rlike(r"^[\W_]*((p|pp|стр|с|S)\.?\s*)?9[\W_]*$") | (tail.rlike(r"\S{3}.*\s") & (tail == F.upper(tail)))
-    common = d.filter(F.col("some") & ~closed & remark).groupBy(tail.alias("tail")).agg(F.count("*").alias("k")).filter(F.col("k") >= least).orderBy(F.desc("k")).limit(500)
-    common_tails = [r["tail"] for r in common.collect()]  # at most 500 closing phrases
-    intact = with_limit.filter(F.col("some") & (closed | tail.isin(common_tails or [""])) & (F.col("share") == 0) & (F.length("body") < 20_000))
+    common = d.filter(F.col("some") & ~closed & remark).groupBy(tail.alias("tail")).agg(F.count("*").alias("k")).filter(F.col("k") >= least)
+    common = F.broadcast(common.select("tail", F.lit(True).alias("often")))  # at most 5,000 rows, since each is that share of all
+    intact = d.withColumn("tail", tail).join(common, "tail", "left").filter(F.col("some") & (closed | F.coalesce("often", F.lit(False))) & (F.col("share") == 0) & (F.length("body") < LONGEST))
     rate = min(1.0, sample / 2 / max(1, n_all) * 1.5)
-    pdf = intact.filter(F.pmod(F.xxhash64("content_id", F.lit(seed)), F.lit(10**6)) < rate * 10**6).limit(sample // 2).select("body", "lang").toPandas()
+    drawn = F.pmod(F.xxhash64("content_id", F.lit(seed)), F.lit(10**6))
+    pdf = intact.filter(drawn < rate * 10**6).orderBy(drawn, "content_id").limit(sample // 2).select("body", "lang").toPandas()
     rng = np.random.default_rng(seed)
     rows, labels = [], []
     for body, lang in zip(pdf["body"], pdf["lang"]):
@@ -162,7 +164,7 @@ def score_truncation(content: DataFrame, reports: DataFrame, sample: int = SAMPL
             score[some] = logistic.score(x, w.value)
             yield pd.DataFrame({"content_id": b["content_id"], "source_file": b["source"], "score": score, "cut": score > 0.5})
 
-    scored = with_limit.select("content_id", "source", "lang", "body", "share", "some").mapInPandas(run, "content_id bigint, source_file string, score double, cut boolean")
+    scored = d.select("content_id", "source", "lang", "body", "share", "some").mapInPandas(run, "content_id bigint, source_file string, score double, cut boolean")
     return scored.withColumn("score", F.when(F.isnan("score"), None).otherwise(F.col("score")))
 
 

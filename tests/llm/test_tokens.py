@@ -69,4 +69,4 @@ def test_packing_is_whole_and_tight(spark):
         total = sum(n or 0 for n in sizes)
         assert len(fill) <= 1.08 * total / cap + 6
     assert packing.pack(df.limit(0), {"s": 100}).count() == 0
-    assert packing.fill_report(packing.pack(df, {"s": 100})).first()["n_tokens"] == sum(n or 0 for n in sizes)
+    assert packing.fill_report(packing.pack(df, {"s": 100}), spark.createDataFrame([("s", 100)], "container_kind string, capacity_tokens int")).first()["n_tokens"] == sum(n or 0 for n in sizes)

@@ -160,11 +160,14 @@ def extract_range(ls: DataFrame, ranges: DataFrame, chrome: str | None = None) -
     return j.withColumn("_b", blank).withColumn("_p", F.lag("_b").over(w)).filter(~(F.col("_b") & F.coalesce("_p", F.lit(False)))).drop("_b", "_p")
 
 
+#: Neighbouring functions and what they count for.
 SUBSTITUTION = {("PROPP-1", "PROPP-2"): 1.0, ("PROPP-8", "PROPP-8A"): 1.5, ("PROPP-11", "PROPP-12"): 1.0, ("PROPP-15", "PROPP-16"): 1.0, ("PROPP-25", "PROPP-26"): 1.0, ("PROPP-29", "PROPP-30"): 1.0}
 
 
 def local_alignment(a: list[str], b: list[str], opening: float = -0.5, extending: float = -0.1, mismatch: float = -1.0, match: float = 2.0) -> float:
-    """Best local alignment of two code sequences with affine gaps, as a share of the best possible."""
+    """Best local alignment of two code sequences with affine gaps, as a share of the best possible.
+
+    An empty slot ('' or null) is unknown: against anything it counts 0, neither match nor mismatch."""
     if not len(a) or not len(b):
         return 0.0
     n = len(b)
@@ -173,7 +176,7 @@ def local_alignment(a: list[str], b: list[str], opening: float = -0.5, extending
     for x in a:
         row, gap_b = [0.0] * (n + 1), low
         for j, y in enumerate(b, 1):
-            s = match if x == y else SUBSTITUTION.get((x, y), SUBSTITUTION.get((y, x), mismatch))
+            s = 0.0 if not x or not y else match if x == y else SUBSTITUTION.get((x, y), SUBSTITUTION.get((y, x), mismatch))
             gap_a[j] = max(prev[j] + opening, gap_a[j] + extending)
             gap_b = max(row[j - 1] + opening, gap_b + extending)
             row[j] = max(0.0, prev[j - 1] + s, gap_a[j], gap_b)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import corpus_plans, derive_plans, integrity_plans, orphan_plans, similarity_plans, text_plans
+from . import corpus_plans, derive_plans, integrity_plans, orphan_plans, pipeline_plans, similarity_plans, text_plans
 
-MODULES = [derive_plans, similarity_plans, integrity_plans, text_plans, corpus_plans, orphan_plans]
+MODULES = [derive_plans, similarity_plans, integrity_plans, text_plans, corpus_plans, pipeline_plans, orphan_plans]
 
 
 def queries() -> dict:

@@ -54,7 +54,7 @@ def _align(s, d):
     """Function sequences of the pairs that are edges, aligned."""
     f = V.features(s, d)
     e = C.edges(C.features(f)).select("member_a", "member_b")
-    code = F.filter(F.transform("propp_codes", A.canon_propp), lambda x: x.isNotNull())
+    code = F.transform("propp_codes", lambda x: F.coalesce(A.canon_propp(x), F.lit("")))  # gaps stay, as wildcards
     x, y = (f.select(F.col("nas").alias(f"member_{n}"), code.alias(f"c_{n}")) for n in "ab")
     p = e.join(x, "member_a").join(y, "member_b")
     return p.select("member_a", "member_b", F.bround(S.align_codes("c_a", "c_b"), 6).alias("score"))
@@ -106,6 +106,13 @@ hd AS (SELECT l.run_id, char_start, regexp_replace(line,'^\s+|\s+$','','g') AS h
 fs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY run_id, slug_candidate ORDER BY char_start) AS rn FROM hd WHERE slug_candidate<>'') WHERE rn=1),
 scan AS (SELECT run_id, heading_text, slug_candidate, char_start, coalesce(lead(char_start) OVER (PARTITION BY run_id ORDER BY char_start), length(text))::INT AS char_end, 0.9::DOUBLE AS confidence, toc_detected, toc_char_end FROM fs JOIN doc USING (run_id))"""
 ORACLES = {
+    "w5_passages": r"""WITH d AS (SELECT doc_id AS run_id, text AS chunk FROM documents WHERE length(text) > 200), s AS (
+SELECT run_id, chunk, 1 AS seq, substring(chunk,101,90) AS o FROM d UNION ALL SELECT run_id, chunk, 2, substring(chunk,11,50) FROM d UNION ALL SELECT run_id, chunk, 3, 'nowhere to be found' FROM d),
+t AS (SELECT run_id, chunk, seq, regexp_replace(o,'^\s+|\s+$','','g') AS o FROM s),
+p AS (SELECT *, CASE WHEN o = '' THEN NULL ELSE coalesce(nullif(strpos(chunk,o[1:80]),0), nullif(strpos(chunk,o[1:60]),0), nullif(strpos(chunk,o[1:40]),0), nullif(strpos(chunk,o[1:20]),0)) END AS pos FROM t),
+x AS (SELECT *, row_number() OVER w AS passage_no, coalesce(lead(pos) OVER w, length(chunk)+1) AS nx FROM p WINDOW w AS (PARTITION BY run_id ORDER BY pos NULLS LAST, seq)),
+y AS (SELECT *, CASE WHEN pos IS NULL THEN '' ELSE regexp_replace(substring(chunk, pos, greatest(nx-pos,0)),'^\s+|\s+$','','g') END AS passage FROM x)
+SELECT run_id, seq, pos, passage_no, length(passage) AS n, md5(passage) AS h FROM y""",
     "f1_f3_addresses": f"SELECT nas, regexp_full_match(nas,'nms://[a-z0-9-]+(/[a-z0-9-]+){{1,3}}') AS valid, string_split(nas,'/')[3] AS tradition, string_split(nas,'/')[4] AS division, string_split(nas,'/')[5] AS episode, len(string_split(nas,'/'))-2 AS depth, array_to_string(string_split(nas,'/')[1:5],'/') AS parent FROM {_N}",
     "f4_canonical": f"SELECT nas, {V.NAS.format('nas')} AS canonical FROM {_N}",
     "f5_slugs": f"{V.VIEWS} SELECT DISTINCT label, {_SLUG.format('label')} AS slug FROM ann WHERE label IS NOT NULL",

@@ -34,6 +34,7 @@ def n_segments(apart: int) -> int:
     return max(1, apart // 2 + 1) if apart < 2 else apart // 2 + 2
 
 
+HOT, FREQUENT, SELDOM = 65_536, 8, (1, 1)  # signatures with counts that every task holds, from which count on, and what the others count as
 GROWTH = 1.15  # by which the sizes of a group may differ
 
 
@@ -108,18 +109,28 @@ def index_signatures(values: np.ndarray, t: float) -> Iterator[tuple[int, int]]:
                     yield _h(g[0], mine[0], i, v), 1
 
 
-def probe_options(values: np.ndarray, t: float) -> Iterator[tuple[int, int, int, int, int]]:
-    """(group, apart, segment, signature, kind) of a set as the smaller one, for each partner group.
+def probe_signatures(values: np.ndarray, t: float, often: dict[int, tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(signature, kind, pick) of a set as the smaller one: for each partner group the cheapest segments that cover what
+    may differ. kind 0: the whole segment; 1: its one-deletions, where one difference is allowed (pick 1).
 
-    kind 0: the whole segment; 1: its one-deletions."""
+    ``often``: counts of the frequent signatures (whole, deletions); others count as seldom."""
     mine = group_of(len(values))
     for g, apart in above(len(values), t):
         m, differ = segments_of(mine, g, t)
+        sigs, cost0, cost1 = [], [], []
         for i, seg in enumerate(_segments(values, m)):
-            yield g[0], apart, i, _h(mine[0], g[0], i, seg), 0
-            if differ:
-                for v in _variants(seg):
-                    yield g[0], apart, i, _h(mine[0], g[0], i, v), 1
+            whole = _h(mine[0], g[0], i, seg)
+            cut_ = [_h(mine[0], g[0], i, v) for v in _variants(seg)] if differ else []
+            sigs.append((whole, cut_))
+            f0, f1 = often.get(whole, SELDOM)
+            cost0.append(f0 + 1e-6)
+            cost1.append(f1 + sum(sum(often.get(s, SELDOM)) for s in cut_) + 1e-6)
+        for (whole, cut_), pick in zip(sigs, choose(apart, cost0, cost1)):
+            if pick >= 0:
+                yield whole, 0, pick
+            if pick == 1:
+                for s in cut_:
+                    yield s, 1, 1
 
 
 def choose(apart: int, cost0: list[float], cost1: list[float]) -> list[int]:
@@ -151,34 +162,19 @@ def similar_pairs(sets: DataFrame, threshold: float = 0.6) -> DataFrame:
             rows = [(r, s, k) for r, hs in zip(pdf["rep"], pdf["hs"]) for s, k in index_signatures([int(x) for x in hs], threshold)]
             yield pd.DataFrame(rows, columns=["rep", "sig", "kind"])
 
-    def options(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [(r, *o) for r, hs in zip(pdf["rep"], pdf["hs"]) for o in probe_options([int(x) for x in hs], threshold)]
-            yield pd.DataFrame(rows, columns=["rep", "b", "apart", "seg", "sig", "kind"])
-
     slim = base.select("rep", "hs")
     idx = cut(slim.mapInPandas(index, "rep bigint, sig bigint, kind int"))
-    freq = idx.groupBy("sig").agg(F.count_if(F.col("kind") == 0).alias("f0"), F.count_if(F.col("kind") == 1).alias("f1"))
-    opt = cut(slim.mapInPandas(options, "rep bigint, b int, apart int, seg int, sig bigint, kind int"))
-    # what each option would cost: an equal segment meets whole segments; one difference meets also one-deletions
-    priced = opt.join(freq, "sig", "left").na.fill(0, ["f0", "f1"])
-    per_seg = priced.groupBy("rep", "b", "apart", "seg").agg(
-        F.sum(F.when(F.col("kind") == 0, F.col("f0")).otherwise(0)).alias("c0"),
-        F.sum(F.when(F.col("kind") == 0, F.col("f1")).otherwise(F.col("f0") + F.col("f1"))).alias("c1"),
-    )
-    whole = per_seg.groupBy("rep", "b", "apart").agg(F.sort_array(F.collect_list(F.struct("seg", "c0", "c1"))).alias("segs"))
-
-    @F.pandas_udf("array<int>")
-    def picks(apart: pd.Series, segs: pd.Series) -> pd.Series:
-        return pd.Series([choose(int(h), [s["c0"] + 1e-6 for s in x], [s["c1"] + 1e-6 for s in x]) for h, x in zip(apart, segs)])
-
-    plan = whole.select("rep", "b", picks("apart", "segs").alias("picks"))
-    chosen = (
-        opt.join(plan, ["rep", "b"])
-        .withColumn("pick", F.get("picks", F.col("seg")))
-        .filter((F.col("pick") >= 0) & (F.col("kind") <= F.col("pick")))
-        .select("rep", "sig", F.col("kind").alias("pk"), "pick")
-    )
+    # what a signature costs is what it meets; only the frequent ones matter, and their number is bounded
+    freq = idx.groupBy("sig").agg(F.count_if(F.col("kind") == 0).alias("f0"), F.count_if(F.col("kind") == 1).alias("f1")).filter(F.col("f0") + F.col("f1") > FREQUENT)
+    hot = freq.orderBy(F.desc(F.col("f0") + F.col("f1")), "sig").limit(HOT).collect()
+    often = base.sparkSession.sparkContext.broadcast({r["sig"]: (r["f0"], r["f1"]) for r in hot})
+
+    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(r, *o) for r, hs in zip(pdf["rep"], pdf["hs"]) for o in probe_signatures([int(x) for x in hs], threshold, often.value)]
+            yield pd.DataFrame(rows, columns=["rep", "sig", "pk", "pick"])
+
+    chosen = slim.mapInPandas(probe, "rep bigint, sig bigint, pk int, pick int")
     i = idx.select(F.col("rep").alias("other"), "sig", F.col("kind").alias("ik"))
     # equal: whole on whole; one difference: also a deletion on a whole, and both deleted
     cand = (

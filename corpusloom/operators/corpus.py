@@ -116,8 +116,8 @@ def collisions(proposals: DataFrame, confirmed: DataFrame) -> DataFrame:
 def passage_of(addresses: DataFrame, segments: DataFrame) -> DataFrame:
     """(nas, passage_text): by address, else by division and episode; blank text falls through."""
     solid = segments.filter(F.col("passage_text").rlike(r"\S"))
-    by_nas = solid.groupBy("nas").agg(F.max_by("passage_text", "run_id").alias("t1"))
-    by_place = solid.groupBy("division", "episode").agg(F.max_by("passage_text", "run_id").alias("t2"))
+    by_nas = solid.groupBy("nas").agg(F.max_by("passage_text", F.struct("run_id", "passage_text")).alias("t1"))
+    by_place = solid.groupBy("division", "episode").agg(F.max_by("passage_text", F.struct("run_id", "passage_text")).alias("t2"))
     j = addresses.join(by_nas, "nas", "left").join(by_place, ["division", "episode"], "left")
     return j.select("nas", F.coalesce("t1", "t2").alias("passage_text"))
 

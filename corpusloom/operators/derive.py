@@ -8,6 +8,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions.text import tier_rank
 from ..model.enums import PROFILE
+from ..session import cut, shuffle_parts
 
 
 def confirmed(annotations: DataFrame, track: str | None = None) -> DataFrame:
@@ -42,11 +43,57 @@ def best_annotations(annotations: DataFrame, by: list[str]) -> DataFrame:
     return annotations.groupBy(*by).agg(F.min_by("code", order).alias("code"), F.min(order).alias("o")).select(*by, "code")
 
 
+def ranges(df: DataFrame, part: str, order: list[str], carry: list[str]) -> tuple[DataFrame, list]:
+    """Rows cut by ranges of (part, order), with their range, and a row a range and part: its first and last carried values.
+
+    So no task holds a whole part, however many rows it has; the ends of the ranges tell what lies across their borders."""
+    n = shuffle_parts(df.sparkSession)
+    d = cut(df.repartitionByRange(n, part, *order).withColumn("_range", F.spark_partition_id()))
+    at = F.struct(*order)
+    ends = d.groupBy("_range", part).agg(F.min_by(F.struct(*carry), at).alias("first"), F.max_by(F.struct(*carry), at).alias("last"), F.count("*").alias("n"))
+    return d, sorted(ends.collect(), key=lambda r: (r["_range"], r[part] is not None, r[part] or ""))  # two ends a range, and a row for each part within
+
+
 def islands(df: DataFrame, part: str, order: str, value: str) -> DataFrame:
-    """Adds ``island``: runs of equal values in order, numbered from 1 within the part."""
-    w = W.partitionBy(part).orderBy(order)
+    """Adds ``island``: runs of equal values in order, numbered from 1 within the part.
+
+    Rows are sorted range by range; what a range needs from those before it (the last value, the islands so far) is
+    carried over, so one part that has a third of the rows is spread too."""
+    order_by = [order, *([] if order == "nas" or "nas" not in df.columns else ["nas"])]
+    d, ends = ranges(df, part, order_by, [value])
+    w = W.partitionBy("_range", part).orderBy(*order_by)
     new = F.when(F.lag(value).over(w).eqNullSafe(F.col(value)) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    return df.withColumn("_new", new).withColumn("island", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_new")
+    d = d.withColumn("_new", new).withColumn("island", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    starts = {(r["_range"], r[part]): r["k"] for r in d.groupBy("_range", part).agg(F.max("island").alias("k")).collect()}  # as many rows as ``ends``
+    shift, last, so_far = [], {}, {}
+    for r in ends:
+        p, before = r[part], so_far.get(r[part], 0)
+        joined = p in last and last[p] == r["first"][0]
+        shift.append((r["_range"], p, before - 1 if joined else before))
+        so_far[p] = starts[r["_range"], p] + (before - 1 if joined else before)
+        last[p] = r["last"][0]
+    kind = dict(df.dtypes)[part]
+    off = df.sparkSession.createDataFrame(shift, f"_r int, _p {kind}, _off bigint") if shift else df.sparkSession.createDataFrame([], f"_r int, _p {kind}, _off bigint")
+    out = d.join(F.broadcast(off), (F.col("_range") == F.col("_r")) & F.col(part).eqNullSafe(F.col("_p")))
+    return out.withColumn("island", (F.col("island") + F.col("_off")).cast("bigint")).drop("_new", "_range", "_r", "_p", "_off")
+
+
+def neighbours(df: DataFrame, part: str, order: str, value: str) -> DataFrame:
+    """Adds ``prev_`` and ``next_`` of a value in order within a part, range by range as ``islands``."""
+    order_by = [order, *([] if value == order else [value])]
+    d, ends = ranges(df, part, order_by, [value])
+    w = W.partitionBy("_range", part).orderBy(*order_by)
+    rows = []
+    for i, r in enumerate(ends):
+        before = next((x for x in reversed(ends[:i]) if x[part] == r[part]), None)
+        after = next((x for x in ends[i + 1 :] if x[part] == r[part]), None)
+        rows.append((r["_range"], r[part], before and before["last"][0], after and after["first"][0]))
+    kinds = dict(df.dtypes)
+    off = df.sparkSession.createDataFrame(rows, f"_r int, _p {kinds[part]}, _b {kinds[value]}, _a {kinds[value]}")
+    d = d.withColumn("_prev", F.lag(value).over(w)).withColumn("_next", F.lead(value).over(w)).withColumn("_at", F.row_number().over(w)).withColumn("_n", F.count("*").over(W.partitionBy("_range", part)))
+    out = d.join(F.broadcast(off), (F.col("_range") == F.col("_r")) & F.col(part).eqNullSafe(F.col("_p")))
+    prev, nxt = F.when(F.col("_at") == 1, F.col("_b")).otherwise(F.col("_prev")), F.when(F.col("_at") == F.col("_n"), F.col("_a")).otherwise(F.col("_next"))
+    return out.withColumn(f"prev_{value}", prev).withColumn(f"next_{value}", nxt).drop("_range", "_r", "_p", "_b", "_a", "_prev", "_next", "_at", "_n")
 
 
 def sequences(addresses: DataFrame, best: DataFrame, gap: str | None) -> DataFrame:

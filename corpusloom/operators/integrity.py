@@ -20,29 +20,38 @@ def _lacuna(nas: Column) -> Column:
     return F.exists(F.split(nas, "/"), lambda x: F.startswith(x, F.lit("lacuna")))
 
 
+def _checked(df: DataFrame, key: str, checks: list[tuple[str, str, Column, Column]]) -> DataFrame:
+    """Violations of several rules in one pass over the rows: (rule, severity, condition, detail) each."""
+    hits = F.array(*(F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(rule).alias("rule_id"), F.lit(severity).alias("severity"), detail.cast("string").alias("detail"))) for rule, severity, bad, detail in checks))
+    rows = df.select(F.col(key).cast("string").alias("record_id"), "nas", F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("x"))
+    return rows.select("x.rule_id", "x.severity", "record_id", "nas", "x.detail")
+
+
+def _marked(df: DataFrame, other: DataFrame, column: str, name: str) -> DataFrame:
+    """Adds whether a column's value is among the other's addresses."""
+    o = other.select(F.col("nas").alias(f"_{name}")).filter(F.col(f"_{name}").isNotNull()).distinct()
+    return df.join(o, F.col(column) == F.col(f"_{name}"), "left").withColumn(name, F.col(f"_{name}").isNotNull()).drop(f"_{name}")
+
+
 def address_rules(confirmed: DataFrame, fragments: DataFrame) -> list[DataFrame]:
     """V1 well-formed confirmed addresses, V9 each with a fragment, V10 units with a confirmed parent."""
-    ok = confirmed.filter(nas_valid(F.col("nas")))
-    have = fragments.select(F.col("nas").alias("x")).distinct()
-    known = ok.select(F.col("nas").alias("x")).distinct()
-    units = ok.filter(nas_depth(F.col("nas")) == 4).withColumn("parent", nas_parent(F.col("nas")))
-    return [
-        _row(confirmed.filter(~nas_valid(F.col("nas"))), "V1", "ordinal", F.col("nas")),
-        _row(ok.join(have, ok.nas == have.x, "left_anti"), "V9", "ordinal", F.col("nas")),
-        _row(units.join(known, units.parent == known.x, "left_anti"), "V10", "ordinal", F.col("parent")),
-    ]
+    ok = nas_valid(F.col("nas"))
+    c = _marked(confirmed.withColumn("_up", nas_parent(F.col("nas"))), fragments, "nas", "_there")
+    c = _marked(c, confirmed.filter(ok), "_up", "_known")
+    return [_checked(c, "ordinal", [("V1", "error", ~ok, F.col("nas")), ("V9", "error", ok & ~F.col("_there"), F.col("nas")), ("V10", "error", ok & (nas_depth(F.col("nas")) == 4) & ~F.col("_known"), F.col("_up"))])]
 
 
 def fragment_rules(fragments: DataFrame, confirmed: DataFrame) -> list[DataFrame]:
     """V2 well-formed and, where any are confirmed, confirmed; V14 a fit note needs a warning."""
-    known = confirmed.filter(nas_valid(F.col("nas"))).select(F.col("nas").alias("x")).distinct()
+    known = confirmed.filter(nas_valid(F.col("nas")))
     some = bool(known.take(1))
-    ok = fragments.filter(nas_valid(F.col("nas")))
-    rules = [
-        _row(fragments.filter(~nas_valid(F.col("nas"))), "V2", "fragment_id", F.lit("invalid")),
-        _row(fragments.filter("methodology_fit_note is not null and methodology_fit_note <> '' and not coalesce(methodology_fit_warning, false)"), "V14", "fragment_id", F.col("methodology_fit_note")),
-    ]
-    return [*rules, _row(ok.join(known, ok.nas == known.x, "left_anti"), "V2", "fragment_id", F.lit("unconfirmed"))] if some else rules
+    ok = nas_valid(F.col("nas"))
+    f = _marked(fragments, known, "nas", "_known")
+    note = F.col("methodology_fit_note")
+    return [_checked(f, "fragment_id", [
+        ("V2", "error", ~ok, F.lit("invalid")), ("V2", "error", ok & ~F.col("_known") & F.lit(some), F.lit("unconfirmed")),
+        ("V14", "error", note.isNotNull() & (note != "") & ~F.coalesce("methodology_fit_warning", F.lit(False)), note),
+    ])]
 
 
 def content_rules(content: DataFrame) -> list[DataFrame]:
@@ -51,18 +60,15 @@ def content_rules(content: DataFrame) -> list[DataFrame]:
     ``content``: content_id, nas, layer, body, status, confidence_tier, ai_generated, reviewed_by."""
     ai, surface = F.coalesce("ai_generated", F.lit(False)), F.coalesce(F.col("layer") == "surface", F.lit(False))
     tier = F.coalesce("confidence_tier", F.lit(""))
-    on = content.filter
+    candidate, confirmed = F.col("status") == "candidate", F.col("status") == "confirmed"
     body = F.coalesce("body", F.lit(""))
     shown = F.regexp_replace(F.regexp_replace(body, r"\[NAS:[^\]]*\]", ""), r"\s+", "") != ""
     whole = F.regexp_replace(body, r"\s+", "") != ""
-    return [
-        _row(on(ai & (tier == "documented")), "V3", "content_id", tier),
-        _row(on(ai & surface & (F.col("status") == "candidate") & (tier != "inspired")), "V4", "content_id", tier),
-        _row(on(ai & surface & (F.col("status") == "confirmed") & (tier == "inspired")), "V5", "content_id", tier),
-        _row(on(surface & (F.col("status") == "confirmed") & whole & ~complete(body)), "V6", "content_id", F.lit("truncated")),
-        _row(on(surface & (F.col("status") == "confirmed") & _lacuna(F.col("nas")) & shown & ~hedged(body)), "V7", "content_id", F.lit("unhedged"), "warning"),
-        _row(on(ai & (F.col("status") == "candidate") & F.col("reviewed_by").isNotNull()), "V18", "content_id", F.col("reviewed_by")),
-    ]
+    return [_checked(content, "content_id", [
+        ("V3", "error", ai & (tier == "documented"), tier), ("V4", "error", ai & surface & candidate & (tier != "inspired"), tier), ("V5", "error", ai & surface & confirmed & (tier == "inspired"), tier),
+        ("V6", "error", surface & confirmed & whole & ~complete(body), F.lit("truncated")), ("V7", "warning", surface & confirmed & _lacuna(F.col("nas")) & shown & ~hedged(body), F.lit("unhedged")),
+        ("V18", "error", ai & candidate & F.col("reviewed_by").isNotNull(), F.col("reviewed_by")),
+    ])]
 
 
 def citation_rule(content: DataFrame) -> DataFrame:
@@ -75,16 +81,13 @@ def annotation_rules(annotations: DataFrame, confirmed: DataFrame, fragments: Da
     """V11 the address is well-formed, else confirmed, else has a fragment; V12 code shape; V13 tier.
 
     ``raw_code`` is the code as stored."""
-    known = confirmed.filter(nas_valid(F.col("nas"))).select(F.col("nas").alias("x")).distinct().withColumn("is_known", F.lit(True))
-    have = fragments.select(F.col("nas").alias("y")).distinct().withColumn("is_there", F.lit(True))
-    j = annotations.join(known, annotations.nas == known.x, "left").join(have, annotations.nas == have.y, "left")
-    why = F.when(~nas_valid(F.col("nas")), "invalid").when(F.col("is_known").isNull(), "unconfirmed").when(F.col("is_there").isNull(), "no fragment")
+    j = _marked(_marked(annotations, confirmed.filter(nas_valid(F.col("nas"))), "nas", "_known"), fragments, "nas", "_there")
+    why = F.when(~nas_valid(F.col("nas")), "invalid").when(~F.col("_known"), "unconfirmed").when(~F.col("_there"), "no fragment")
     live = F.coalesce(F.col("status") != "rejected", F.lit(True))
-    return [
-        _row(j.withColumn("why", why).filter("why is not null"), "V11", "annotation_id", F.col("why")),
-        _row(annotations.filter((F.col("track") == "tmi") & live & ~F.coalesce(F.col("raw_code"), F.lit("")).rlike(TMI_VALID)), "V12", "annotation_id", F.col("raw_code")),
-        _row(annotations.filter("status = 'confirmed' and proposed_tier = 'inspired'"), "V13", "annotation_id", F.col("proposed_tier")),
-    ]
+    return [_checked(j, "annotation_id", [
+        ("V11", "error", why.isNotNull(), why), ("V12", "error", (F.col("track") == "tmi") & live & ~F.coalesce(F.col("raw_code"), F.lit("")).rlike(TMI_VALID), F.col("raw_code")),
+        ("V13", "error", (F.col("status") == "confirmed") & (F.col("proposed_tier") == "inspired"), F.col("proposed_tier")),
+    ])]
 
 
 def version_rule(manifests: DataFrame, version: str = "0.1") -> DataFrame:
@@ -117,6 +120,12 @@ def range_rule(features: DataFrame) -> DataFrame:
     return _row(features.filter(bad), "V21", "feature_id", F.concat_ws(",", "polyphony", "carnivalesque"))
 
 
+def bounds_rule(df: DataFrame, key: Column, nas: Column, bounds: dict[str, tuple[float, float]]) -> DataFrame:
+    """V21 for scores of edges and parallels: columns within their bounds; the detail names the column."""
+    d = df.withColumn("_key", key).withColumn("nas", nas)
+    return _checked(d, "_key", [("V21", "error", ~F.col(c).between(lo, hi), F.lit(c)) for c, (lo, hi) in bounds.items()])
+
+
 def unique_rule(df: DataFrame, key: str, columns: list[str], where: str | None = None) -> DataFrame:
     """Q11: table constraints: key columns that occur more than once, under an optional condition."""
     g = (df.filter(where) if where else df).groupBy(*columns).agg(F.count("*").alias("k"), F.min(key).alias("first")).filter("k > 1")

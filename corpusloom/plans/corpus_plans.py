@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..operators import corpus as C
+from ..operators import derive as D
 from ..sources import readers as R
 from ..streaming.incremental import event_counts
 from ..session import table
@@ -18,21 +19,26 @@ def _md5(df):
     return df.withColumn("body", F.md5(F.coalesce("body", F.lit(""))))
 
 
+def _late(s, d):
+    """Records that arrived more than a week after they came into being: the batch that comes in."""
+    c = table(s, d, "fragment_content").groupBy("content_id").agg(F.min("loaded_at").alias("there"), F.min("recorded_at").alias("made"))
+    return c.filter(F.col("there") > F.col("made") + F.expr("interval 7 days")).select("content_id")
+
+
 def _upsert(s, d):
-    old = V.content(s, d).filter("content_id % 3 <> 0").select("content_id", "nas", "status")
-    new = V.content(s, d).filter("content_id % 3 = 0 or content_id % 5 = 0").select("content_id", "nas", F.lit("new").alias("status"))
-    return C.upsert(old, new, ["content_id"])
+    new = V.content(s, d).join(_late(s, d), "content_id", "left_semi").select("content_id", "nas", F.lit("new").alias("status"))
+    return C.upsert(V.content(s, d).select("content_id", "nas", "status"), new, ["content_id"])
 
 
 def _absent(s, d):
-    old = V.content(s, d).filter("content_id % 3 <> 0").select("content_id", "nas", "status")
+    old = V.content(s, d).join(_late(s, d), "content_id", "left_anti").select("content_id", "nas", "status")
     new = V.content(s, d).select("content_id", "nas", F.lit("new").alias("status"))
     return C.append_absent(old, new, ["content_id"])
 
 
 def _decided(s, d):
     c = V.content(s, d)
-    keys = c.filter("status = 'candidate' and content_id % 4 = 0").select(*KEY).distinct()
+    keys = c.filter("status = 'candidate' and ai_generated").select(*KEY).distinct()
     n = F.pmod(F.length("nas"), F.lit(3))
     dec = keys.select(*KEY, F.when(n == 0, "confirmed").when(n == 1, "rejected").otherwise("modified_confirmed").alias("action"), F.lit("reconstructed").alias("confidence_tier_assigned"), F.lit("edited").alias("body"))
     return _md5(C.apply_decisions(c, dec)).select("content_id", "status", "confidence_tier", "body")
@@ -44,7 +50,8 @@ def _proposals(s, d):
 
 def _confirm(s, d):
     p = _proposals(s, d)
-    dec = p.filter("o % 4 <> 0").select("proposed_nas", F.when(F.col("o") % 4 == 1, "revised").when(F.col("o") % 4 == 2, "deferred").otherwise("confirmed").alias("action"), F.concat("proposed_nas", F.lit("-r")).alias("revised_nas"), F.lit("me").alias("confirmed_by"), F.lit(None).cast("timestamp_ntz").alias("confirmed_at"))
+    g = F.col("granularity")
+    dec = p.select("proposed_nas", F.when(g == "sub-episode", "revised").when(g == "lacuna", "deferred").otherwise("confirmed").alias("action"), F.concat("proposed_nas", F.lit("-r")).alias("revised_nas"), F.lit("me").alias("confirmed_by"), F.lit(None).cast("timestamp_ntz").alias("confirmed_at"))
     return C.confirm_addresses(p.drop("o"), dec).select("nas", "tradition_id", "confirmed_by")
 
 
@@ -61,7 +68,7 @@ def _emit(s, d):
 
 def _to_embed(s, d):
     c = V.content(s, d)
-    have = c.filter("content_id % 2 = 0 and body is not null").select(F.sha2("body", 256).alias("content_hash"), F.lit("m1").alias("model_version"))
+    have = c.filter("ai_generated and body is not null").select(F.sha2("body", 256).alias("content_hash"), F.lit("m1").alias("model_version"))
     return C.to_embed(c, have, "m1", ["surface", "translated"], ["en"]).select("content_id", "content_hash")
 
 
@@ -82,8 +89,7 @@ def _edition(s, d):
 
 
 def _neighbours(s, d):
-    w = W.partitionBy("tradition_id").orderBy("ordinal")
-    return V.addresses(s, d).select("ordinal", "nas", F.lag("nas").over(w).alias("prev_nas"), F.lead("nas").over(w).alias("next_nas"))
+    return D.neighbours(V.addresses(s, d).select("tradition_id", "ordinal", "nas"), "tradition_id", "ordinal", "nas").select("ordinal", "nas", "prev_nas", "next_nas")
 
 
 def _fallback(s, d):
@@ -144,23 +150,27 @@ QUERIES = {
 
 _v = V.VIEWS
 _seg = f"{_v}, seg AS (SELECT nas, string_split(nas,'/')[4] AS division, string_split(nas,'/')[5] AS episode, run_id, translation_id AS label, body AS passage_text FROM cont WHERE layer='translated' AND body IS NOT NULL), ad AS (SELECT DISTINCT nas, division, episode FROM addr)"
-_pass = _seg + r", sol AS (SELECT * FROM seg WHERE regexp_replace(passage_text,'\s+','','g')<>''), p1 AS (SELECT nas, arg_max(passage_text, run_id) AS t1 FROM sol GROUP BY 1), p2 AS (SELECT division, episode, arg_max(passage_text, run_id) AS t2 FROM sol GROUP BY ALL), pas AS (SELECT ad.nas, coalesce(t1,t2) AS t FROM ad LEFT JOIN p1 USING (nas) LEFT JOIN p2 ON p2.division=ad.division AND p2.episode=ad.episode)"
+_pass = _seg + r", sol AS (SELECT * FROM seg WHERE regexp_replace(passage_text,'\s+','','g')<>''), p1 AS (SELECT nas, arg_max(passage_text, (run_id, passage_text)) AS t1 FROM sol GROUP BY 1), p2 AS (SELECT division, episode, arg_max(passage_text, (run_id, passage_text)) AS t2 FROM sol GROUP BY ALL), pas AS (SELECT ad.nas, coalesce(t1,t2) AS t FROM ad LEFT JOIN p1 USING (nas) LEFT JOIN p2 ON p2.division=ad.division AND p2.episode=ad.episode)"
 _lay = "SELECT nas, string_agg(layer,'|' ORDER BY o, layer) AS layers FROM (SELECT nas, layer, min(content_id) AS o FROM cont WHERE {0} GROUP BY ALL) GROUP BY 1"
+_LATE = "late AS (SELECT content_id FROM fragment_content GROUP BY 1 HAVING min(loaded_at) > min(recorded_at) + INTERVAL 7 DAY)"
+_CLEAN = r"regexp_replace(regexp_replace(array_to_string(list_filter(string_split({0},chr(10)), lambda x: NOT regexp_full_match(regexp_replace(x,'^\s+|\s+$','','g'),'\[PAGE \d+\]|\d{{1,5}}')),chr(10)),'\n{{3,}}',chr(10)||chr(10),'g'),'^\s+|\s+$','','g')"
 ORACLES = {
-    "k3_upsert": f"{_v} SELECT content_id, nas, CASE WHEN content_id%3=0 OR content_id%5=0 THEN 'new' ELSE status END AS status FROM cont",
-    "k9_write_if_absent": f"{_v} SELECT content_id, nas, CASE WHEN content_id%3=0 THEN 'new' ELSE status END AS status FROM cont",
+    "c17_emit_translated": f"{_pass} SELECT nas, 'en' AS locale, 'new-1900' AS translation_id, md5({_CLEAN.format('t')}) AS body, 'candidate' AS status, 'documented' AS confidence_tier, false AS ai_generated, 1900 AS translation_year FROM pas WHERE regexp_replace(t,'\\s+','','g') <> ''",
+    "c18_clean_editions": f"{_v}, c AS (SELECT content_id, body, {_CLEAN.format('body')} AS b FROM cont WHERE layer='translated') SELECT content_id, md5(b) AS h FROM c WHERE b <> body",
+    "k3_upsert": f"{_v}, {_LATE} SELECT content_id, nas, CASE WHEN content_id IN (SELECT content_id FROM late) THEN 'new' ELSE status END AS status FROM cont",
+    "k9_write_if_absent": f"{_v}, {_LATE} SELECT content_id, nas, CASE WHEN content_id IN (SELECT content_id FROM late) THEN 'new' ELSE status END AS status FROM cont",
     "k10_strip_edition": f"{_v} {_lay.format(chr(115) + 'tatus<>' + chr(39) + 'rejected' + chr(39))}",
     "a16_layers": f"{_v} {_lay.format('status IN (' + chr(39) + 'candidate' + chr(39) + ',' + chr(39) + 'confirmed' + chr(39) + ')')}",
     "c13_review_queue": f"{_v} SELECT CASE WHEN layer='surface' THEN 'summary' ELSE layer END AS record_type, content_id AS record_id, nas, locale, layer, NULL::VARCHAR AS track, NULL::VARCHAR AS code FROM cont WHERE status='candidate' UNION ALL SELECT 'annotation', annotation_id, nas, NULL, NULL, track, code FROM ann WHERE status='candidate'",
     "filter7_queue_en": f"{_v} SELECT content_id AS record_id, nas FROM cont WHERE status='candidate' AND layer='surface' AND locale='en'",
     "c14_decisions": f"""{_v}, r AS (SELECT *, row_number() OVER (PARTITION BY nas, locale, layer, translation_id, status ORDER BY content_id) AS rn FROM cont),
-k AS (SELECT DISTINCT nas, locale, layer, translation_id, length(nas)%3 AS n FROM cont WHERE status='candidate' AND content_id%4=0),
+k AS (SELECT DISTINCT nas, locale, layer, translation_id, length(nas)%3 AS n FROM cont WHERE status='candidate' AND ai_generated),
 j AS (SELECT r.*, k.n FROM r LEFT JOIN k ON r.nas IS NOT DISTINCT FROM k.nas AND r.locale IS NOT DISTINCT FROM k.locale AND r.layer IS NOT DISTINCT FROM k.layer AND r.translation_id IS NOT DISTINCT FROM k.translation_id AND r.status='candidate' AND rn=1)
 SELECT content_id, CASE WHEN n=1 THEN 'rejected' WHEN n IS NOT NULL THEN 'confirmed' ELSE status END AS status, CASE WHEN n IN (0,2) THEN 'reconstructed' ELSE confidence_tier END AS confidence_tier, md5(CASE WHEN n=2 THEN 'edited' ELSE coalesce(body,'') END) AS body FROM j""",
-    "c15_confirm": f"{_v} SELECT CASE WHEN ordinal%4=1 THEN nas||'-r' ELSE nas END AS nas, tradition_id, 'me' AS confirmed_by FROM addr WHERE ordinal%4 IN (1,3)",
+    "c15_confirm": f"{_v} SELECT CASE WHEN granularity='sub-episode' THEN nas||'-r' ELSE nas END AS nas, tradition_id, 'me' AS confirmed_by FROM addr WHERE coalesce(granularity,'')<>'lacuna'",
     "c16_auto_confirm": f"{_v} SELECT annotation_id, CASE WHEN status='candidate' AND regexp_matches(code,'^BAKHTIN-(POLYPHONY|CARNIVALESQUE|HETEROGLOSSIA)-') THEN 'confirmed' ELSE status END AS status FROM ann",
     "c19_citation_backfill": f"{_v}, c AS (SELECT content_id, nas, string_split(coalesce(cites,''),'|') AS a, cites FROM cont) SELECT content_id, CASE WHEN cites IS NULL THEN NULL ELSE coalesce(array_to_string(list_filter(a, lambda x, i: x<>'' AND x<>nas AND list_position(a,x)=i),'|'),'') END AS cites FROM c",
-    "c20_to_embed": rf"{_v} SELECT content_id, sha256(body) AS content_hash FROM cont WHERE layer IN ('surface','translated') AND locale='en' AND status='confirmed' AND regexp_replace(body,'\s+','','g')<>'' AND sha256(body) NOT IN (SELECT sha256(body) FROM cont WHERE content_id%2=0 AND body IS NOT NULL)",
+    "c20_to_embed": rf"{_v} SELECT content_id, sha256(body) AS content_hash FROM cont WHERE layer IN ('surface','translated') AND locale='en' AND status='confirmed' AND regexp_replace(body,'\s+','','g')<>'' AND sha256(body) NOT IN (SELECT sha256(body) FROM cont WHERE ai_generated AND body IS NOT NULL)",
     "s11_witnesses": f"{_seg} SELECT ad.nas, label, md5(passage_text) AS h FROM ad JOIN seg USING (nas) UNION ALL SELECT ad.nas, label, md5(passage_text) FROM ad JOIN seg ON seg.division=ad.division AND seg.episode=ad.episode WHERE ad.nas NOT IN (SELECT nas FROM seg)",
     "j16_passages": f"{_pass} SELECT nas, t IS NOT NULL AS found FROM pas",
     "i1_to_summarise": f"{_v} SELECT DISTINCT nas, unnest(['en','ru']) AS locale FROM addr WHERE division<>'' AND episode<>'' EXCEPT SELECT nas, locale FROM cont WHERE layer='surface' AND status IN ('candidate','confirmed')",

@@ -31,7 +31,7 @@ QUERIES = {
     "a2_code_frequency": lambda s, d: D.code_frequency(_sets(s, d)),
     "a2_frequency_totals": lambda s, d: D.frequency_totals(_sets(s, d)),
     "o1_frequency_ranked": lambda s, d: D.code_frequency(_sets(s, d)).orderBy(F.desc("n"), "code"),
-    "a3_stop_codes": lambda s, d: D.stop_codes(_sets(s, d), 0.05),
+    "a3_stop_codes": lambda s, d: D.stop_codes(_sets(s, d), 0.005),
     "a4_best_annotation": lambda s, d: D.best_annotations(D.confirmed(V.annotations(s, d)), ["nas", "track"]),
     "a5_propp_sequences": lambda s, d: _sequence(s, d, "propp", ""),
     "a6_chronotope_sequences": lambda s, d: _sequence(s, d, "bakhtin", None),
@@ -63,7 +63,7 @@ ORACLES = {
     "a2_code_frequency": f"{V_}, {_CODES} SELECT code, n FROM freq",
     "a2_frequency_totals": f"{V_}, {_CODES} SELECT count(*) AS total_fragments, count(*) FILTER (WHERE len(codes) > 0) AS total_annotated_fragments FROM sets",
     "o1_frequency_ranked": f"{V_}, {_CODES} SELECT code, n FROM freq ORDER BY n DESC, code",
-    "a3_stop_codes": f"{V_}, {_CODES} SELECT code FROM freq WHERE n > 0.05 * (SELECT count(*) FROM sets)",
+    "a3_stop_codes": f"{V_}, {_CODES} SELECT code FROM freq WHERE n > 0.005 * (SELECT count(*) FROM sets)",
     "a4_best_annotation": f"{V_}, {_RANKED.format('')} SELECT nas, track, code FROM ranked WHERE rn = 1",
     "a5_propp_sequences": _seq_sql("AND track='propp'", ""),
     "a6_chronotope_sequences": _seq_sql(f"AND track='bakhtin' AND code NOT IN {_DIMS}", "~"),

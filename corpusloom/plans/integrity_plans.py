@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..model.enums import HEDGES
 from ..operators import integrity as I
 from ..session import table
+from . import similarity_plans as SP
 from . import views as V
 
 
@@ -26,8 +27,8 @@ def _decisions(s, d):
     """Review decisions as annotations carry them: one a reviewed annotation."""
     a = V.annotations(s, d)
     return a.filter("status <> 'candidate'").select(
-        F.concat(F.lit("a-"), "annotation_id").alias("audit_id"), "nas", F.when(F.col("annotation_id") % 97 == 0, "confirmd").otherwise(F.col("status")).alias("action"),
-        F.when(F.col("annotation_id") % 5 == 0, "summary").otherwise("annotation").alias("record_type"), F.lit(None).cast("string").alias("layer"), F.col("proposed_tier").alias("confidence_tier_assigned"),
+        F.concat(F.lit("a-"), "annotation_id").alias("audit_id"), "nas", F.when(F.col("status") == "deferred", "postponed").otherwise(F.col("status")).alias("action"),
+        F.when(F.col("track") == "propp", "summary").otherwise("annotation").alias("record_type"), F.lit(None).cast("string").alias("layer"), F.col("proposed_tier").alias("confidence_tier_assigned"),
     )
 
 
@@ -50,8 +51,9 @@ QUERIES = {
     "v8_citations": lambda s, d: I.citation_rule(_raw_citations(s, d)),
     "v11_v13_annotations": lambda s, d: I.union(I.annotation_rules(V.annotations(s, d), V.addresses(s, d), V.fragments(s, d))),
     "v16_v20_decisions": lambda s, d: I.union(I.decision_rules(_decisions(s, d))),
-    "v21_ranges": lambda s, d: I.range_rule(V.features(s, d)),
-    "q11_constraints": lambda s, d: I.unique_rule(V.annotations(s, d), "annotation_id", ["nas", "track", "position"], "status = 'confirmed'"),
+    "v21_ranges": lambda s, d: I.range_rule(V.features(s, d).withColumn("polyphony", F.col("polyphony") * 1.25)),
+    "v21_edges": lambda s, d: I.bounds_rule(SP._edges(s, d), F.concat_ws(" ", "member_a", "member_b"), F.col("member_a"), {"tmi_jaccard_leaf": (0, 1), "tmi_jaccard_branch": (0, 1), "propp_overlap": (0, 1), "qualifying_dimensions": (1, 3)}),
+    "q11_constraints": lambda s, d: I.unique_rule(V.annotations(s, d), "annotation_id", ["nas", "track"], "status = 'confirmed'"),
     "v22_export_gate": lambda s, d: I.export_gate(_all(s, d), V.content(s, d), V.annotations(s, d)),
     "a23_status": _status,
     "a23_coverage": _coverage,
@@ -90,7 +92,7 @@ _R = {
     "V21": _o("V21", "feature_id", "polyphony::VARCHAR||','||carnivalesque::VARCHAR", "feat WHERE polyphony NOT BETWEEN 0 AND 1 OR carnivalesque NOT BETWEEN 0 AND 1"),
 }
 _u = lambda *k: V.VIEWS + " " + " UNION ALL ".join(_R[x] for x in k)
-_DEC = "dec AS (SELECT 'a-'||annotation_id AS audit_id, nas, CASE WHEN annotation_id%97=0 THEN 'confirmd' ELSE status END AS action, CASE WHEN annotation_id%5=0 THEN 'summary' ELSE 'annotation' END AS record_type, proposed_tier AS tier FROM ann WHERE status<>'candidate')"
+_DEC = "dec AS (SELECT 'a-'||annotation_id AS audit_id, nas, CASE WHEN status='deferred' THEN 'postponed' ELSE status END AS action, CASE WHEN track='propp' THEN 'summary' ELSE 'annotation' END AS record_type, proposed_tier AS tier FROM ann WHERE status<>'candidate')"
 _N = ", ".join(f"count(*) FILTER (WHERE status='{x}') AS n_{x}" for x in ("candidate", "confirmed", "rejected", "deferred"))
 ORACLES = {
     "c24_validate": _u(*_R),
@@ -105,8 +107,9 @@ ORACLES = {
         _o("V17", "audit_id", "tier", "dec WHERE action='confirmed' AND record_type='summary' AND tier<>'reconstructed'"),
         _o("V20", "audit_id", "coalesce(tier,'none')", "dec WHERE action='confirmed' AND (tier IS NULL OR (record_type='annotation' AND tier='inspired'))"),
     ]),
-    "v21_ranges": _u("V21"),
-    "q11_constraints": f"{V.VIEWS} SELECT 'Q11' AS rule_id, 'error' AS severity, min(annotation_id)::VARCHAR AS record_id, nas, count(*)::VARCHAR AS detail FROM ann WHERE status='confirmed' GROUP BY nas, track, position HAVING count(*)>1",
+    "v21_ranges": V.VIEWS + " " + _o("V21", "feature_id", "polyphony::VARCHAR||','||carnivalesque::VARCHAR", "(SELECT * REPLACE (polyphony*1.25 AS polyphony) FROM feat) WHERE polyphony NOT BETWEEN 0 AND 1 OR carnivalesque NOT BETWEEN 0 AND 1").replace("polyphony::VARCHAR||','||carnivalesque::VARCHAR", "concat_ws(',', polyphony, carnivalesque)"),
+    "v21_edges": f"{SP._E} SELECT 'V21' AS rule_id, 'error' AS severity, member_a||' '||member_b AS record_id, member_a AS nas, 'qualifying_dimensions' AS detail FROM e WHERE qualifying_dimensions > 3",
+    "q11_constraints": f"{V.VIEWS} SELECT 'Q11' AS rule_id, 'error' AS severity, min(annotation_id)::VARCHAR AS record_id, nas, count(*)::VARCHAR AS detail FROM ann WHERE status='confirmed' GROUP BY nas, track HAVING count(*)>1",
     "v22_export_gate": f"{V.VIEWS}, v AS ({' UNION ALL '.join(_R.values())}), g AS (SELECT (SELECT count(*) FROM v WHERE severity='error') AS n_errors, (SELECT count(*) FROM cont WHERE status='candidate') AS n_content, (SELECT count(*) FROM ann WHERE status='candidate') AS n_annotations) SELECT *, n_errors=0 AND n_content+n_annotations=0 AS passes FROM g",
     "a23_status": f"{V.VIEWS} SELECT layer AS part, {_N} FROM cont GROUP BY 1 UNION ALL SELECT track, {_N} FROM ann GROUP BY 1",
     "a23_coverage": f"{V.VIEWS} SELECT tradition_id, count(*) AS n_total, count(k) AS n_annotated FROM (SELECT DISTINCT tradition_id, nas FROM addr) LEFT JOIN (SELECT DISTINCT nas, 1 AS k FROM ann) USING (nas) GROUP BY 1",

@@ -46,7 +46,7 @@ def _passages(s, d):
 
 def _audit(s, d):
     a = V.addresses(s, d)
-    derived = a.filter("ordinal % 7 <> 0").select("ordinal", F.when(F.col("ordinal") % 11 == 0, F.concat("nas", F.lit("-x"))).otherwise(F.col("nas")).alias("nas"))
+    derived = a.filter("confirmed_by <> 'reviewer-3'").select("ordinal", F.when(F.col("granularity") == "sub-episode", F.concat("nas", F.lit("-x"))).otherwise(F.col("nas")).alias("nas"))
     return S.audit(a.select("ordinal", "nas"), derived)
 
 
@@ -128,7 +128,7 @@ SELECT run_id, seq, pos, passage_no, length(passage) AS n, md5(passage) AS h FRO
     "c8_structure": f"{_SCAN} SELECT * FROM scan",
     "w4_toc": f"WITH {_LINES}, {_TOC} SELECT * FROM toc",
     "f33_slices": f"{_SCAN} SELECT run_id, char_start, md5(substring(text, char_start+1, least(char_end-char_start,4000))) AS h FROM scan JOIN doc USING (run_id)",
-    "c12_audit": rf"""{V.VIEWS}, der AS (SELECT ordinal, CASE WHEN ordinal%11=0 THEN nas||'-x' ELSE nas END AS nas FROM addr WHERE ordinal%7<>0),
+    "c12_audit": rf"""{V.VIEWS}, der AS (SELECT ordinal, CASE WHEN granularity='sub-episode' THEN nas||'-x' ELSE nas END AS nas FROM addr WHERE confirmed_by<>'reviewer-3'),
 pc AS (SELECT string_split(nas,'/')[4] AS division, row_number() OVER (PARTITION BY string_split(nas,'/')[4] ORDER BY ordinal) AS place, nas AS c FROM addr WHERE len(string_split(nas,'/'))>=5),
 pd AS (SELECT string_split(nas,'/')[4] AS division, row_number() OVER (PARTITION BY string_split(nas,'/')[4] ORDER BY ordinal) AS place, nas AS e FROM der WHERE len(string_split(nas,'/'))>=5),
 pr AS (SELECT c, e FROM pc JOIN pd USING (division, place) WHERE c<>e)

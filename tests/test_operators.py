@@ -259,3 +259,85 @@ def test_stream_runs_once(spark, tmp_path):
     for _ in range(2):
         process_new_files(spark, src, "id bigint", out, chk, lambda b: b)
     assert spark.read.parquet(out).count() == 5
+
+
+def test_nearest_ties_go_by_name(spark):
+    v = spark.createDataFrame([(f"n{i:03}", [1.0, 0.0]) for i in range(60)] + [("q", [1.0, 0.0]), ("z", [-1.0, 0.0])], "nas string, vector array<double>")
+    q = v.filter("nas = 'q'")
+    for block in (16_384, 7):
+        got = [r["nas"] for r in C.nearest(v, q, 4, block).orderBy("rank").collect()]
+        assert got == ["n000", "n001", "n002", "n003"]
+
+
+def test_block_products_equal_all_pairs(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [(f"n{i:02}", rnd.choice("abc"), [rnd.uniform(-1, 1) for _ in range(4)] if i % 9 else rnd.choice([None, [], [1.0]])) for i in range(50)]
+    v = spark.createDataFrame(rows, "nas string, tradition string, vector array<double>")
+    e = spark.createDataFrame([], "member_a string, member_b string, tradition_a string, tradition_b string, tmi_jaccard_leaf double, tmi_jaccard_branch double, propp_overlap double, chronotope_match boolean, qualifying_dimensions int, bakhtin_polyphony_delta double")
+    small, whole = (sorted(map(str, C.parallels(v, e, everything=True, block=b).collect())) for b in (6, 1024))
+    assert small == whole and len(whole) == C.pair_count(v).first()["n_pairs"]
+    rep = C.parallel_report(v, e, block=6).first()
+    assert rep["n_pairs"] == len(whole) and rep["n_above"] == 0
+
+
+def test_stop_codes_are_left_out(spark):
+    rows = [(f"n{i}", "a", ["TMI-J1"] + ([f"TMI-K{i}"] if i < 3 else []), [], None, None, None) for i in range(4)] + [(f"m{i}", "b", [], [], None, None, None) for i in range(6)]
+    assert all("TMI-J1" not in r["leaf"] for r in feat(spark, rows).collect())
+    assert sum("TMI-J1" in r["leaf"] for r in C.features(spark.createDataFrame(rows, FEAT), 0.4).collect()) == 4
+
+
+def test_components_of_a_long_chain(spark):
+    pairs = spark.range(900).selectExpr("lpad(cast(id as string), 4, '0') as member_a", "lpad(cast(id + 1 as string), 4, '0') as member_b")
+    assert C.components(pairs).select("component").distinct().count() == 1
+    with pytest.raises(RuntimeError):
+        C.components(pairs, rounds=1)
+    with pytest.raises(ValueError):
+        C.edges_theta(feat(spark, [(f"n{i}", "a", [], [], None, None, None) for i in range(5)]), most=3)
+
+
+def test_unknown_slots_are_wildcards():
+    assert S.local_alignment(["A", "", "B"], ["A", "C", "B"]) == 4 / 6 and S.local_alignment([""], [""]) == 0.0 and S.local_alignment(["A"], [None]) == 0.0
+
+
+def test_runs_across_ranges(spark):
+    import random
+
+    rnd = random.Random(6)
+    rows = [("t" if i % 5 else "u", i, rnd.choice("xy") if i % 7 else None, f"n{i:03}") for i in range(300)]
+    df = spark.createDataFrame(rows, "tradition_id string, ordinal bigint, division string, nas string")
+    want, last, k = {}, {}, {}
+    for t, i, d, n in rows:
+        k[t] = k.get(t, 0) + (t not in last or last[t] != d)
+        last[t] = d
+        want[n] = k[t]
+    assert {r["nas"]: r["island"] for r in D.islands(df, "tradition_id", "ordinal", "division").collect()} == want
+    got = {r["nas"]: (r["prev_nas"], r["next_nas"]) for r in D.neighbours(df.select("tradition_id", "ordinal", "nas"), "tradition_id", "ordinal", "nas").collect()}
+    for t in "tu":
+        names = [n for x, _, _, n in rows if x == t]
+        assert all(got[n] == (names[i - 1] if i else None, names[i + 1] if i + 1 < len(names) else None) for i, n in enumerate(names))
+    assert D.islands(df.limit(0), "tradition_id", "ordinal", "division").count() == 0
+
+
+def test_summaries_are_asked_for_again(spark):
+    from corpusloom.operators import pipeline as P
+
+    asked = spark.createDataFrame([("nms://a/b/c", "en"), ("nms://a/b/d", "en"), ("nms://a/b/e", "ru")], "nas string, locale string")
+
+    def model(row, k):
+        if row["locale"] == "ru":
+            return {"body": "Half", "stop_reason": "max_tokens"}
+        return {"body": "He went." if row["nas"].endswith("c") and k < 3 else "He went [NAS: nms://a/b/c]."}
+
+    got = {r["nas"][-1]: r for r in P.summarise(asked, model).collect()}
+    assert got["c"]["attempts"] == 3 and got["c"]["grounding_citations"] == [] and got["d"]["attempts"] == 1 and got["d"]["grounding_citations"] == ["nms://a/b/c"]
+    assert got["e"]["body"] is None and got["e"]["error_type"] == "truncation_failure" and len(got) == 3
+    assert P.tracks(["tmi", "campbell"], {}) == ["tmi"] and P.tracks(["campbell"], {"campbell_track": True}) == ["campbell"]
+
+
+def test_written_cuts_can_be_deleted(spark):
+    from corpusloom.session import cut, release
+
+    df = cut(spark.range(5))
+    assert df.count() == 5 and release(spark) >= 1 and release(spark) == 0

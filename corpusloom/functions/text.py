@@ -24,13 +24,18 @@ def word_count(c: Column) -> Column:
 
 def clean_translated(c: Column) -> Column:
     """Page marks and bare page numbers dropped, runs of blank lines squeezed, ends trimmed."""
-    lines = F.filter(F.split(c, "\n"), lambda x: ~strip_ws(x).rlike(r"^(\[PAGE \d+\]|\d{1,5})$"))
+    lines = F.filter(F.split(c, "\n"), lambda x: ~strip_ws(x).rlike(PAGE_MARK))
     return strip_ws(F.regexp_replace(F.array_join(lines, "\n"), r"\n{3,}", "\n\n"))
 
 
+#: Patterns of citations, sentences and page marks.
+PAGE_MARK = r"^(\[PAGE \d+\]|\d{1,5})$"
+CITATION, ADDRESS, SENTENCE = r"\[NAS: ([^\]]+)\]", r"nms://[a-z0-9-]+(/[a-z0-9-]+){1,3}", r"[A-ZА-ЯЁ][^.!?]*[.!?]"
+
+
 def citations(c: Column) -> Column:
     """Addresses cited in a body, in order."""
-    return F.regexp_extract_all(c, F.lit(r"\[NAS: ([^\]]+)\]"), 1)
+    return F.regexp_extract_all(c, F.lit(CITATION), 1)
 
 
 def clean_citations(arr: Column, own: Column) -> Column:
@@ -39,13 +44,12 @@ def clean_citations(arr: Column, own: Column) -> Column:
 
 
 def sentences(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(r"[A-ZА-ЯЁ][^.!?]*[.!?]"), 0)
+    return F.regexp_extract_all(c, F.lit(SENTENCE), 0)
 
 
 def uncited(c: Column) -> Column:
     """Sentences without a citation, cut to 80 characters."""
-    marked = F.regexp_replace(c, r"\[NAS: [^\]]+\]", CITED)
-    marked = F.regexp_replace(marked, r"nms://[a-z0-9-]+(/[a-z0-9-]+){1,3}", CITED)
+    marked = F.regexp_replace(F.regexp_replace(c, CITATION, CITED), ADDRESS, CITED)
     return F.transform(F.filter(sentences(marked), lambda s: ~F.contains(s, F.lit(CITED))), lambda s: F.substring(s, 1, 80))
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.address import norm_locale
 from ..session import cut
 
-SLOTS = 1 << 17  # hashed model table, whatever the data
+SLOTS = 1 << 19  # hashed model table, whatever the data
 ROUNDS = 3
 
 #: Closing marks of scripts; quotation pairs by language; scripts that set no spaces or stops.
@@ -419,6 +419,18 @@ def _chain(pairs: pd.DataFrame, model: Model, rates: dict[str, float], rounds: i
     return out
 
 
+def _joined(batches: Iterator[pd.DataFrame], rows: int = 500_000) -> Iterator[pd.DataFrame]:
+    """Batches put together up to about that many rows, for sums over tables as large as these."""
+    held: list[pd.DataFrame] = []
+    for pdf in batches:
+        held.append(pdf)
+        if sum(map(len, held)) >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held = []
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _expect(contexts: DataFrame, model: Model | None, rates: dict[str, float], first: bool = False) -> Model:
     """One round: expected boundaries over all contexts, added up in fixed tables.
 
@@ -428,7 +440,7 @@ def _expect(contexts: DataFrame, model: Model | None, rates: dict[str, float], f
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tables, rate = b.value
         acc = np.zeros((2, 2, SLOTS))
-        for pdf in batches:
+        for pdf in _joined(batches):
             keys = pdf[COLS[1:7]].to_numpy(np.int64)
             n, wide = pdf["n"].to_numpy(float), pdf["wide"].to_numpy() > 0
             r = pdf["lang"].map(rate).to_numpy(float)

@@ -120,13 +120,13 @@ def score_truncation(content: DataFrame, reports: DataFrame, sample: int = SAMPL
     rows_ = content.select("content_id", "body", F.length("body").alias("n"), F.xxhash64("body").alias("h"), "run_id", F.coalesce(norm_locale(F.col("locale")), F.lit("")).alias("lang"))
     pick = ["n", "h", "run_id", "lang"]
     # lengths and sources first, without the bodies: these are shuffled once only, on their key
-    slim = cut(rows_.groupBy("content_id").agg(F.max(F.struct(*pick)).alias("x")).select("content_id", "x.*").join(src, "run_id", "left").select("content_id", "source", "n"))
+    slim = cut(rows_.groupBy("content_id").agg(F.max(F.struct(*pick)).alias("x")).select("content_id", "x.*").join(src.hint("merge"), "run_id", "left").select("content_id", "source", "n"))
     n_all = slim.count()
     if n_all == 0:
         return spark.createDataFrame([], "content_id bigint, source_file string, score double, cut boolean")
-    share = slim.join(_limits(slim), ["source", "n"], "left").select("content_id", "source", F.coalesce("share", F.lit(0.0)).alias("share"))
+    share = slim.join(_limits(slim).hint("merge"), ["source", "n"], "left").select("content_id", "source", F.coalesce("share", F.lit(0.0)).alias("share"))
     one = rows_.groupBy("content_id").agg(F.max(F.struct(*pick, "body")).alias("x")).select("content_id", "x.lang", "x.body")
-    d = cut(one.join(share, "content_id").withColumn("some", F.coalesce(F.col("body").rlike(r"\S"), F.lit(False))))
+    d = cut(one.join(share.hint("merge"), "content_id").withColumn("some", F.coalesce(F.col("body").rlike(r"\S"), F.lit(False))))
     whole = F.regexp_replace("body", r"\s+$", "")
     ends = F.substring(whole, -1, 1)
     closed = ends.isin(*STOPS, *CLOSERS) | F.col("lang").isin("th", "lo", "km", "my")

@@ -68,9 +68,10 @@ def test_edges_equal_all_pairs(spark):
 
 def test_candidates(spark):
     rows = [(f"nms://{t}/d/e{i}", t, ["TMI-A1335"], ["PROPP-8"], "ROAD", 0.5, None) for t in ("a", "b") for i in range(11)] + [("nms://c/d/lacuna-1", "c", ["TMI-A1335"], ["PROPP-8"], "ROAD", 0.5, None)]
-    c = C.candidates(C.edges(feat(spark, rows))).collect()
+    every = lambda r: C.features(spark.createDataFrame(r, FEAT), None)  # noqa: E731 - one code for all is none too common here
+    c = C.candidates(C.edges(every(rows))).collect()
     assert len(c) == 1 and c[0]["n_members"] == 22 and c[0]["oversized"] and c[0]["candidate_id"] == "C-0001" and c[0]["dimensional_agreement"] == "very_high" and c[0]["primary_dimension"] == "tmi_jaccard_leaf"
-    assert C.candidates(C.edges(feat(spark, rows[:3]))).count() == 0
+    assert C.candidates(C.edges(every(rows[:3]))).count() == 0
 
 
 def test_components_against_brute_force(spark):
@@ -96,7 +97,7 @@ def test_components_against_brute_force(spark):
 
 def test_parallel_scores(spark):
     v = spark.createDataFrame([("a1", "a", [1.0, 0.0]), ("b1", "b", [0.3, (1 - 0.09) ** 0.5])], "nas string, tradition string, vector array<double>")
-    e = C.edges(feat(spark, [("a1", "a", ["TMI-A1"], ["PROPP-1"], "R", 0.5, None), ("b1", "b", ["TMI-A1"], ["PROPP-1"], "R", 0.5, None)]))
+    e = C.edges(C.features(spark.createDataFrame([("a1", "a", ["TMI-A1"], ["PROPP-1"], "R", 0.5, None), ("b1", "b", ["TMI-A1"], ["PROPP-1"], "R", 0.5, None)], FEAT), None))
     r = C.parallels(v, e).collect()
     assert len(r) == 1 and r[0]["parallel_score"] == 0.65 and r[0]["framework_match_count"] == 4
     assert C.parallels(v, e.limit(0), everything=True).first()["parallel_score"] == 0.15

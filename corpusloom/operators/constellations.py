@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions.address import canon_propp, canon_tmi, nas_part, tmi_branch, tmi_root
-from ..functions.text import cosine_units, cut_note, jaccard, overlap, unit
+from ..functions.text import cosine_units, cut_note, unit
 from ..session import cut
 
 EDGE = [
@@ -54,62 +54,92 @@ def features(df: DataFrame, stop_share: float | None = 0.3) -> DataFrame:
     return f.withColumn("branch", level(tmi_branch)).withColumn("root", level(tmi_root))
 
 
-def _score(p: DataFrame, leaf: float, branch: float, propp: float, least: int, delta: float) -> DataFrame:
+def _score(p: DataFrame, leaf: float, branch: float, propp: float, least: int, delta: float, keep: tuple[str, ...] = ()) -> DataFrame:
     a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
+    levels = ("leaf", "branch", "root", "propp")
+    # a filter that depends on the row's number is not moved into the join, where the sets would be met again for each use
     s = p.select(
         a("nas").alias("member_a"), b("nas").alias("member_b"), a("tradition").alias("tradition_a"), b("tradition").alias("tradition_b"),
-        *(jaccard(a(c), b(c)).alias(f"tmi_jaccard_{c}") for c in ("leaf", "branch", "root")), overlap(a("propp"), b("propp")).alias("propp_overlap"),
+        *(F.size(F.array_intersect(a(c), b(c))).alias(f"n_{c}") for c in levels), *(F.size(x(c)).alias(f"n{n}_{c}") for c in levels for n, x in (("a", a), ("b", b))),
         F.coalesce(a("chronotope_type") == b("chronotope_type"), F.lit(False)).alias("chronotope_match"),
         (a("polyphony").isNotNull() & b("polyphony").isNotNull()).alias("bakhtin_profile_available"),
         F.bround(F.abs(a("polyphony") - b("polyphony")), 4).alias("bakhtin_polyphony_delta"),
         F.bround(F.abs(a("carnivalesque") - b("carnivalesque")), 4).alias("bakhtin_carnivalesque_delta"),
+        *(x(c).alias(f"{c}_{n}") for c in keep for n, x in (("a", a), ("b", b))), F.monotonically_increasing_id().alias("_row"),
     )
+    both, na, nb = (lambda c, i=i: F.col(f"n{i}_{c}") for i in ("", "a", "b"))
+    share = lambda c, of: F.when((na(c) == 0) | (nb(c) == 0), 0.0).otherwise(both(c) / of)
+    s = s.select("*", *(share(c, na(c) + nb(c) - both(c)).alias(f"tmi_jaccard_{c}") for c in levels[:3]), share("propp", F.greatest(na("propp"), nb("propp"))).alias("propp_overlap"))
     dims = [
         (F.col("tmi_jaccard_leaf") >= leaf) | (F.col("tmi_jaccard_branch") >= branch), F.col("propp_overlap") > propp, F.col("chronotope_match"),
         F.coalesce(F.col("bakhtin_polyphony_delta") < delta, F.lit(False)),
     ]
-    s = s.withColumn("qualifying_dimensions", reduce(Column.__add__, [d.cast("int") for d in dims])).filter(F.col("qualifying_dimensions") >= least)
+    s = s.withColumn("qualifying_dimensions", reduce(Column.__add__, [d.cast("int") for d in dims])).filter((F.col("_row") >= 0) & (F.col("qualifying_dimensions") >= least))
     for c in ("tmi_jaccard_leaf", "tmi_jaccard_branch", "tmi_jaccard_root", "propp_overlap"):
         s = s.withColumn(c, F.bround(c, 4))
-    return s.select(*EDGE)
+    return s.select(*EDGE, *(f"{c}_{n}" for c in keep for n in "ab"))
 
 
-def edges_theta(f: DataFrame, leaf: float = 0.1, branch: float = 0.25, propp: float = 0.0, least: int = 3, delta: float = 0.15, most: int = 20_000) -> DataFrame:
+def edges_theta(f: DataFrame, leaf: float = 0.1, branch: float = 0.25, propp: float = 0.0, least: int = 3, delta: float = 0.15, most: int = 20_000, keep: tuple[str, ...] = ()) -> DataFrame:
     """All cross-tradition pairs scored, for reference on small inputs and where no key can block; larger ones are an error."""
     if f.limit(most + 1).count() > most:
         raise ValueError(f"more than {most} rows, and thresholds that no key can block")
     on = F.col("a.tradition") < F.col("b.tradition")
-    return _score(f.alias("a").join(f.alias("b"), on), leaf, branch, propp, least, delta)
+    return _score(f.alias("a").join(f.alias("b"), on), leaf, branch, propp, least, delta, keep)
 
 
-def edges(f: DataFrame, leaf: float = 0.1, branch: float = 0.25, propp: float = 0.0, least: int = 3, delta: float = 0.15) -> DataFrame:
+def _numbered(f: DataFrame) -> DataFrame:
+    """Features whose codes and chronotopes are 64-bit hashes, which differ for all strings that occur: a seed with a collision is not used."""
+    lists, odd = ("leaf", "branch", "root", "propp"), F.filter("leaf", lambda x: tmi_branch(x).isNull())
+    f = cut(f.withColumn("odd", odd))
+    codes = f.select(F.explode(F.concat(*lists, F.array("chronotope_type"))).alias("x")).filter("x is not null").distinct()
+    for seed in range(8):
+        number = partial(F.xxhash64, F.lit(seed))
+        if not codes.groupBy(number("x")).count().filter("count > 1").take(1):
+            chronotope = F.when(F.col("chronotope_type").isNotNull(), number("chronotope_type"))
+            return f.withColumns({c: F.transform(c, lambda x: number(x)) for c in (*lists, "odd")} | {"chronotope_type": chronotope})
+    raise RuntimeError("every seed makes two codes collide")
+
+
+def edges(f: DataFrame, leaf: float = 0.1, branch: float = 0.25, propp: float = 0.0, least: int = 3, delta: float = 0.15, keep: tuple[str, ...] = ()) -> DataFrame:
     """Edges without pairing all: an edge agrees in ``least`` of the four dimensions, and each has a key on which two
-    fragments that agree in it meet: motif branch, function code, chronotope, polyphony band. So equi-joins on every
-    choice of ``least`` keys find all edges, and rows that meet agree in that many dimensions but for the thresholds.
+    fragments that agree in it meet: motif branch (t), function code (p), chronotope (c), polyphony band (b). Of the first
+    6 - ``least`` keys an edge has two, so fragments meet in equi-joins on every two of them.
 
-    Polyphony bands are ``delta`` wide and meet their neighbours, so any numbers are covered. member_a is of the
-    tradition that comes first. With thresholds that let empty sets qualify no key blocks and ``edges_theta`` is used."""
+    A pair is scored where it meets, and only there: in the join on the first two keys that it has, at the least branch and
+    function that it shares. So no pair is shuffled or compared with others. Polyphony bands are ``delta`` wide and meet
+    their neighbours, so any numbers are covered. member_a is of the tradition that comes first. With thresholds that let
+    empty sets qualify no key blocks and ``edges_theta`` is used. ``keep``: columns of both ends to add, as name_a and name_b."""
     if least < 1 or leaf <= 0 or branch <= 0 or propp < 0:
-        return edges_theta(f, leaf, branch, propp, least, delta)
+        return edges_theta(f, leaf, branch, propp, least, delta, keep=keep)
     # a shared code means a shared branch, but for codes that have none
-    odd = F.filter("leaf", lambda x: tmi_branch(x).isNull())
-    base = f.select("nas", "tradition", F.concat("branch", odd).alias("t"), F.col("propp").alias("p"), F.col("chronotope_type").alias("c"), F.floor(F.col("polyphony") / delta).cast("int").alias("b"))
-    found = []
-    for keys in combinations("tpcb", least):
+    base = _numbered(f).withColumns({"key_t": F.concat("branch", "odd"), "key_p": F.col("propp"), "key_c": F.col("chronotope_type"), "key_b": F.floor(F.col("polyphony") / delta).cast("int")}).drop("odd")
+    near = F.bround(F.abs(F.col("a.polyphony") - F.col("b.polyphony")), 4) < delta
+    has = {"t": F.arrays_overlap("a.key_t", "b.key_t"), "p": F.arrays_overlap("a.key_p", "b.key_p"), "c": F.coalesce(F.col("a.key_c") == F.col("b.key_c"), F.lit(False)), "b": F.coalesce(near, F.lit(False))}
+    width = min(least, 2)
+    found, first = [], "tpcb"[: 4 - min(least, 4) + width]
+    for keys in combinations(first, width):
 
         def side(n: str, keys=keys) -> DataFrame:
-            x = base.select(F.col("nas").alias(f"n{n}"), F.col("tradition").alias(f"t{n}"), *keys)
+            x = base
             for k in keys:
-                if k in "tp":
-                    x = x.withColumn(k, F.explode(k))
-                elif k == "b" and n == "a":
-                    x = x.withColumn(k, F.explode(F.array(F.col("b") - 1, "b", F.col("b") + 1)))
-            return x.dropna(subset=list(keys))
-
-        found.append(side("a").join(side("b"), list(keys)).filter("ta < tb").select("na", "nb"))
-    pairs = reduce(DataFrame.unionByName, found).distinct()
-    j = pairs.join(f.alias("a"), F.col("na") == F.col("a.nas")).join(f.alias("b"), F.col("nb") == F.col("b.nas"))
-    return _score(j, leaf, branch, propp, least, delta)
+                key = F.col(f"key_{k}")
+                one = F.explode(key) if k in "tp" else F.explode(F.array(key - 1, key, key + 1)) if k == "b" and n == "a" else key
+                x = x.withColumn(f"on_{k}", one)
+            return x.dropna(subset=[f"on_{k}" for k in keys]).alias(n)
+
+        lacks = [k for k in first[: first.index(keys[-1])] if k not in keys]
+        rest = [has[k].cast("int") for k in "bc" if k not in keys and k not in lacks]  # those that cost little
+        rest += [has[k].cast("int") for k in "pt" if k not in keys and k not in lacks]
+        where = [F.col("a.tradition") < F.col("b.tradition")]
+        if least > width:
+            where.append(reduce(Column.__add__, rest) >= least - width)
+        where += [has["b"]] if "b" in keys else []
+        where += [~has[k] for k in lacks]
+        where += [F.col(f"a.on_{k}") == F.array_min(F.array_intersect(f"a.key_{k}", f"b.key_{k}")) for k in keys if k in "tp"]
+        met = side("a").join(side("b"), reduce(Column.__and__, [F.col(f"a.on_{k}") == F.col(f"b.on_{k}") for k in keys]))
+        found.append(_score(met.filter(reduce(Column.__and__, where)), leaf, branch, propp, least, delta, keep))
+    return reduce(DataFrame.unionByName, found)
 
 
 def components(pairs: DataFrame, a: str = "member_a", b: str = "member_b", rounds: int = 60) -> DataFrame:

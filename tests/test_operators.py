@@ -66,6 +66,15 @@ def test_edges_equal_all_pairs(spark):
     assert C.edges(f, least=1).count() == C.edges_theta(f, least=1).count()
 
 
+def test_edges_never_shuffle_pairs(spark):
+    rows = [("n1", "a", ["TMI-A1", "TMI-A2", "X"], ["PROPP-1", "PROPP-2"], "R", 0.5, None), ("n2", "b", ["TMI-A2", "X", "TMI-A1"], ["PROPP-2", "PROPP-1"], "R", 0.6, 0.1)]
+    f = C.features(spark.createDataFrame(rows, FEAT), None)
+    for least in (1, 2, 3, 4):
+        e = C.edges(f, least=least, keep=("nas",))
+        assert "Aggregate" not in e._jdf.queryExecution().optimizedPlan().toString()  # once, though they share many keys
+        assert [(r["member_a"], r["nas_b"], r["qualifying_dimensions"], r["tmi_jaccard_leaf"]) for r in e.collect()] == [("n1", "n2", 4, 1.0)]
+
+
 def test_candidates(spark):
     rows = [(f"nms://{t}/d/e{i}", t, ["TMI-A1335"], ["PROPP-8"], "ROAD", 0.5, None) for t in ("a", "b") for i in range(11)] + [("nms://c/d/lacuna-1", "c", ["TMI-A1335"], ["PROPP-8"], "ROAD", 0.5, None)]
     every = lambda r: C.features(spark.createDataFrame(r, FEAT), None)  # noqa: E731 - one code for all is none too common here

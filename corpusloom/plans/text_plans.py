@@ -53,11 +53,9 @@ def _audit(s, d):
 def _align(s, d):
     """Function sequences of the pairs that are edges, aligned."""
     f = V.features(s, d)
-    e = C.edges(C.features(f)).select("member_a", "member_b")
     code = F.transform("propp_codes", lambda x: F.coalesce(A.canon_propp(x), F.lit("")))  # gaps stay, as wildcards
-    x, y = (f.select(F.col("nas").alias(f"member_{n}"), code.alias(f"c_{n}")) for n in "ab")
-    p = e.join(x, "member_a").join(y, "member_b")
-    return p.select("member_a", "member_b", F.bround(S.align_codes("c_a", "c_b"), 6).alias("score"))
+    p = C.edges(C.features(f).join(f.select("nas", code.alias("sequence")), "nas"), keep=("sequence",))
+    return p.select("member_a", "member_b", F.bround(S.align_codes("sequence_a", "sequence_b"), 6).alias("score"))
 
 
 QUERIES = {

@@ -68,7 +68,7 @@ def _manifest(s, d):
 
 def _confirmed_parallels(s, d):
     known = V.features(s, d).select("nas", F.split("nas", "#")[0].alias("plain")).join(V.addresses(s, d).select(F.col("nas").alias("plain")).distinct(), "plain", "left_semi")
-    notes = SP._edges(s, d).select("member_a", "member_b", F.col("qualifying_dimensions").alias("order"), F.concat(F.lit("dims "), "qualifying_dimensions").alias("note"))
+    notes = SP._vector_edges(s, d).select("member_a", "member_b", F.col("qualifying_dimensions").alias("order"), F.concat(F.lit("dims "), "qualifying_dimensions").alias("note"))
     return P.confirmed_parallels(SP._parallels(s, d, True, 0.45), known, notes)
 
 

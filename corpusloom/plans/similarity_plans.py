@@ -30,8 +30,13 @@ def _notes(s, d):
     return V.features(s, d).select("nas", F.split("nas", "#")[0].alias("plain")).join(f.withColumnRenamed("nas", "plain"), "plain").select("nas", F.lit("tmi").alias("track"), F.when(F.col("note") == "", None).otherwise(F.col("note")).alias("note"))
 
 
+def _vector_edges(s, d):
+    """Edges whose ends both have vectors, for parallels: others meet no pair of vectors. Stop codes are counted over all fragments."""
+    return C.edges(_features(s, d).join(V.vectors(s, d).select("nas").distinct(), "nas", "left_semi"))
+
+
 def _parallels(s, d, everything=False, threshold=0.65):
-    return C.parallels(V.vectors(s, d), _edges(s, d), threshold, everything)
+    return C.parallels(V.vectors(s, d), _vector_edges(s, d), threshold, everything)
 
 
 def _by_label(s, d):
@@ -57,7 +62,7 @@ QUERIES = {
     "a27_pair_count": lambda s, d: C.pair_count(_features(s, d)),
     "c6_parallels_above": lambda s, d: _parallels(s, d, threshold=0.55),
     "c6_parallels_all": lambda s, d: _parallels(s, d, True),
-    "c7_parallel_report": lambda s, d: C.parallel_report(V.vectors(s, d), _edges(s, d)),
+    "c7_parallel_report": lambda s, d: C.parallel_report(V.vectors(s, d), _vector_edges(s, d)),
     "a19_pairs_by_tradition": lambda s, d: C.pairs_by_tradition(_parallels(s, d, threshold=0.55)),
     "w9_numbered_parallels": lambda s, d: C.number_pairs(_parallels(s, d, threshold=0.55)).select("parallel_id", "member_a", "member_b"),
     "q13_nearest": lambda s, d: C.nearest(_by_label(s, d), _by_label(s, d).join(V.features(s, d).filter("feature_id % 20 = 0").select("nas"), "nas"), 5).select("query_nas", "nas", F.bround("similarity", 6).alias("similarity"), "rank"),

@@ -104,6 +104,18 @@ def test_components_against_brute_force(spark):
     assert got == {x: find(x) for x in parent}
 
 
+def test_edges_of_parallels_have_vectors(spark, sf, tmp_path):
+    from corpusloom.plans import similarity_plans as SP
+    from corpusloom.plans import views as V
+
+    (tmp_path / "fragment_features.parquet").symlink_to("/root/testdata/sf0.01/fragment_features.parquet")
+    spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").filter("vec_id < 150").write.parquet(f"{tmp_path}/embeddings.parquet")
+    d = str(tmp_path)
+    held = {r["nas"] for r in V.vectors(spark, d).collect()}
+    every, some = (sorted(map(str, (r for r in e.collect() if only or {r["member_a"], r["member_b"]} <= held))) for e, only in ((SP._edges(spark, d), False), (SP._vector_edges(spark, d), True)))
+    assert some == every and len(some) > 0
+
+
 def test_parallel_scores(spark):
     v = spark.createDataFrame([("a1", "a", [1.0, 0.0]), ("b1", "b", [0.3, (1 - 0.09) ** 0.5])], "nas string, tradition string, vector array<double>")
     e = C.edges(C.features(spark.createDataFrame([("a1", "a", ["TMI-A1"], ["PROPP-1"], "R", 0.5, None), ("b1", "b", ["TMI-A1"], ["PROPP-1"], "R", 0.5, None)], FEAT), None))

@@ -142,14 +142,97 @@ def edges(f: DataFrame, leaf: float = 0.1, branch: float = 0.25, propp: float =
     return reduce(DataFrame.unionByName, found)
 
 
+FIGURES = ["tmi_jaccard_leaf", "tmi_jaccard_branch", "tmi_jaccard_root", "propp_overlap", "chronotope_match"]
+
+
+def _forest(e: DataFrame, most: int = 200_000) -> DataFrame:
+    """Of each task's edges (first two columns) those of a spanning forest, which connect what all of them connect.
+
+    A task that has met ``most`` nodes starts a new forest, so what it holds is bounded."""
+    kept = e.schema.names
+
+    def run(batches):
+        import pyarrow as pa
+
+        up: dict[str, str] = {}
+
+        def root(x):
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for batch in batches:
+            held = []
+            for i, (x, y) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                if (a := root(x)) != (b := root(y)):
+                    up[a] = b
+                    held.append(i)
+            if held:
+                yield batch.select(kept).take(pa.array(held))
+            if len(up) > most:
+                up.clear()
+
+    return e.mapInArrow(run, e.schema)
+
+
+def _digest(e: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """Edges read once and kept as rows of two kinds: those of spanning forests, and sums over a task's edges of one
+    ``member_a`` (``member_b`` null), figures in units of their fourth digit."""
+    sums = ["n", "dims", *FIGURES]
+    names = ["member_a", "member_b", "tradition_a", "tradition_b", *sums]
+    x = e.select(*names[:4], F.lit(1).cast("bigint").alias("n"), F.col("qualifying_dimensions").cast("bigint").alias("dims"), *(F.rint(F.col(c).cast("double") * 10_000).cast("bigint").alias(c) for c in FIGURES))
+
+    def run(batches):
+        import pyarrow as pa
+
+        up: dict[str, str] = {}
+        parts, rows = [], 0
+
+        def root(x):
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        def merged():
+            t = pa.concat_tables(parts).group_by("member_a").aggregate([(c, "sum") for c in sums])
+            return pa.table({"member_a": t["member_a"]} | {c: t[f"{c}_sum"] for c in sums})
+
+        def out(t):
+            n = t.num_rows
+            return pa.table([t[c] if c in t.column_names else pa.nulls(n, pa.int64() if c in sums else pa.string()) for c in names], names=names).to_batches()
+
+        for batch in batches:
+            held = []
+            for i, (x, y) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                if (a := root(x)) != (b := root(y)):
+                    up[a] = b
+                    held.append(i)
+            t = pa.Table.from_batches([batch])
+            if held:
+                yield from out(t.select(names[:4]).take(pa.array(held)))
+            if len(up) > most:
+                up.clear()
+            parts.append(t.select(["member_a", *sums]))
+            rows += len(t)
+            if rows > most:
+                parts = [merged()]
+                if (rows := parts[0].num_rows) > most // 2:
+                    yield from out(parts[0])
+                    parts, rows = [], 0
+        if parts:
+            yield from out(merged())
+
+    return cut(x.mapInArrow(run, ", ".join(f"{c} {'bigint' if c in sums else 'string'}" for c in names)))
+
+
 def components(pairs: DataFrame, a: str = "member_a", b: str = "member_b", rounds: int = 60) -> DataFrame:
     """(nas, component): the least member of each connected component, by alternating large and small stars.
 
-    Each round joins every node to the least of its neighbours; the number of rounds grows with the logarithm of a
+    Tasks first leave out edges that close circles. Each round joins every node to the least of its neighbours; the number of rounds grows with the logarithm of a
     component's size, and labels that are not final after ``rounds`` are an error. Lineage is cut by written tables,
     so losing executors is harmless."""
-    e = pairs.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    e = cut(e)
+    e = cut(_forest(pairs.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v")))
+    e = cut(_forest(e.coalesce(max(1, e.rdd.getNumPartitions() // 8))).distinct())
     mark = lambda x: tuple(x.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     was = mark(e)
     for _ in range(rounds):
@@ -167,19 +250,19 @@ def components(pairs: DataFrame, a: str = "member_a", b: str = "member_b", round
 
 
 def _members(e: DataFrame, c: DataFrame) -> DataFrame:
+    e = e.filter("member_b is not null")
     m = e.select(F.col("member_a").alias("nas"), F.col("tradition_a").alias("tradition")).unionByName(e.select(F.col("member_b").alias("nas"), F.col("tradition_b").alias("tradition"))).distinct()
     return m.join(c, "nas")
 
 
 def _ranked(e: DataFrame, c: DataFrame, oversized: int) -> DataFrame:
-    """Components of two or more traditions with their figures, numbered; no members in the row."""
+    """Components of two or more traditions with their figures, from ``_digest``, numbered; no members in the row."""
     m = _members(e, c).groupBy("component").agg(F.countDistinct("nas").alias("n_members"), F.countDistinct("tradition").alias("tradition_count"))
-    s = e.join(c.withColumnRenamed("nas", "member_a"), "member_a").groupBy("component").agg(
-        F.count("*").alias("n_edges"), F.avg("qualifying_dimensions").alias("mean_dims"),
-        *(F.bround(F.avg(F.col(x).cast("double")), 9).alias(x) for x in ("tmi_jaccard_leaf", "tmi_jaccard_branch", "tmi_jaccard_root", "propp_overlap", "chronotope_match")),
-    )
-    dims = ["tmi_jaccard_leaf", "tmi_jaccard_branch", "tmi_jaccard_root", "propp_overlap", "chronotope_match"]
-    primary = F.coalesce(*(F.when(F.col(x) == F.greatest(*dims), F.lit(x)) for x in dims))
+    total = e.filter("member_b is null").join(c.withColumnRenamed("nas", "member_a"), "member_a").groupBy("component").agg(*(F.sum(x).alias(x) for x in ("n", "dims", *FIGURES)))
+    s = total.select(
+        "component", F.col("n").alias("n_edges"), (F.col("dims") / F.col("n")).alias("mean_dims"), *(F.bround(F.col(x) / F.lit(10_000) / F.col("n"), 9).alias(x) for x in FIGURES)
+    )
+    primary = F.coalesce(*(F.when(F.col(x) == F.greatest(*FIGURES), F.lit(x)) for x in FIGURES))
     out = m.join(s, "component").filter("tradition_count >= 2").select(
         "component", "n_members", "tradition_count", "n_edges", (F.col("n_members") > oversized).alias("oversized"),
         F.when(F.col("mean_dims") >= 2.8, "very_high").when(F.col("mean_dims") >= 2.0, "high").otherwise("moderate").alias("dimensional_agreement"), primary.alias("primary_dimension"),
@@ -191,8 +274,8 @@ def candidates(e: DataFrame, notes: DataFrame | None = None, oversized: int = 20
     """Components of two or more traditions, ranked; ``members`` joined by '|', for reading: ``candidate_members`` has them as rows.
 
     ``notes``: nas, track, note (null: a fixed phrase)."""
-    e = cut(e)
-    c = cut(components(e))
+    e = _digest(e)
+    c = cut(components(e.filter("member_b is not null")))
     out = _ranked(e, c, oversized)
     listed = c.groupBy("component").agg(F.array_join(F.array_sort(F.collect_set("nas")), "|").alias("members"))
     out = out.join(listed, "component")
@@ -205,8 +288,8 @@ def candidates(e: DataFrame, notes: DataFrame | None = None, oversized: int = 20
 
 def candidate_members(e: DataFrame, oversized: int = 20) -> DataFrame:
     """(candidate_id, nas, tradition): a row a member, so that a component of any size is spread."""
-    e = cut(e)
-    c = cut(components(e))
+    e = _digest(e)
+    c = cut(components(e.filter("member_b is not null")))
     return _members(e, c).join(_ranked(e, c, oversized).select("component", "candidate_id"), "component").select("candidate_id", "nas", "tradition")
 
 

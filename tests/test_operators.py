@@ -83,6 +83,15 @@ def test_candidates(spark):
     assert C.candidates(C.edges(every(rows[:3]))).count() == 0
 
 
+def test_digest_keeps_sums_and_connections(spark):
+    rows = [(f"n{i}", "ab"[i % 2], ["TMI-A1"], ["PROPP-1"], "R", 0.5, None) for i in range(40)]
+    e = C.edges(C.features(spark.createDataFrame(rows, FEAT), None))
+    whole, brief = C.candidates(e).first(), C._digest(e.coalesce(1), most=7).collect()
+    assert (whole["n_edges"], whole["n_members"]) == (400, 40) and sum(r["n"] or 0 for r in brief) == 400
+    kept = [r for r in C._digest(e.coalesce(1)).collect() if r["member_b"] is not None]  # 400 edges before
+    assert len(kept) == 39 and {n for r in kept for n in (r["member_a"], r["member_b"])} == {f"n{i}" for i in range(40)}
+
+
 def test_components_against_brute_force(spark):
     import random
 

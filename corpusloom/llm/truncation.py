@@ -26,6 +26,7 @@ LONGEST = 20_000  # labelled rows are made of texts shorter than that; every tex
 #: Marks that close a sentence, brackets and quotations in the scripts at hand.
 STOPS = ".!?。！？।॥؟;՞።"
 CLOSERS = "”’»“\"')]）」』】*"
+DOTS = re.compile(r"(?:\.{3,}|…)$")
 _FURNITURE = re.compile(r"^[\W_]*(?:(?:p|pp|стр|с|S)\.?\s*)?(?:\d{1,4}|[ivxlcdm]{1,7})[\W_]*$", re.I)
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]")
 
@@ -50,7 +51,7 @@ def features(text: str, lang: str, limit_share: float, at_limit: bool) -> list[s
     """Names of the features that hold for a text; one of the source's limits may be its length."""
     t = text.rstrip()
     tail = t[-160:]
-    last = tail[-1] if tail else ""
+    last = "…" if DOTS.search(tail) else tail[-1:]  # three dots are one mark, however they are written
     kind = _kind(last) if last else "none"
     words = _WORD.findall(tail)
     last_word = words[-1] if words else ""
@@ -63,7 +64,7 @@ def features(text: str, lang: str, limit_share: float, at_limit: bool) -> list[s
     capital = bool(line) and len(line) < 60 and line == line.upper() and line != line.lower()
     space = text[-1:].isspace()
     f = [
-        f"kind={kind}", f"lang={lang}|{kind}", f"last={last}", f"last2={tail[-2:]}", f"opened={opened}|{kind}", f"quote={open_quote}|{kind}",
+        f"kind={kind}", f"lang={lang}|{kind}", f"last={last}", f"last2={last if kind == 'dots' else tail[-2:]}", f"opened={opened}|{kind}", f"quote={open_quote}|{kind}",
         f"word={last_word.lower()}", f"pair={before.lower()} {last_word.lower()}", f"furniture={furniture}", f"capital={capital}",
         f"space={space}|{kind}", f"len={min(len(last_word), 12)}|{kind}", f"limit={at_limit}|{kind}", f"share={int(limit_share * 10)}|{kind}",
         f"round={len(text) in ROUND}|{kind}", f"cap={last_word[:1].isupper()}|{kind}",
@@ -83,8 +84,10 @@ def hashed(names: list[str]) -> np.ndarray:
 
 
 def _limits(d: DataFrame, least: int = 4, lift: float = 4.0) -> DataFrame:
-    """(source, n, share): lengths that occur far more often in a source than those beside them."""
-    by = d.filter("n > 0").groupBy("source", "n").agg(F.count("*").alias("k"))
+    """(source, n, share): lengths that occur far more often in a source than those beside them.
+
+    Bodies (by their hash ``h``) count once a source, for copies of one text have its length by nature."""
+    by = d.filter("n > 0").groupBy("source", "n").agg(F.count_distinct("h").alias("k"))
     total = by.groupBy("source").agg(F.sum("k").alias("all"))
     near = by.select("source", F.explode(F.sequence(F.col("n") - 8, F.col("n") + 8)).alias("n"), F.col("k").alias("kn"), F.col("n").alias("m")).filter("n <> m")
     side = near.groupBy("source", "n").agg((F.sum("kn") / 16).alias("beside"))
@@ -99,10 +102,10 @@ def _cuts(text: str, rng: np.random.Generator) -> str | None:
     for _ in range(6):
         short = text[: int(rng.integers(20, len(text) - 3))]
         if rng.random() < 0.12:
-            short = short.rstrip() + "…"
+            short = short.rstrip() + ("…" if rng.random() < 0.5 else "...")
         elif rng.random() < 0.05:
             short += "�"
-        if short.rstrip() and (_kind(short.rstrip()[-1]) != "stop" or rng.random() < 0.05):
+        if short.rstrip() and (_kind(short.rstrip()[-1]) != "stop" or DOTS.search(short) or rng.random() < 0.05):
             return short
     return None
 
@@ -120,7 +123,7 @@ def score_truncation(content: DataFrame, reports: DataFrame, sample: int = SAMPL
     rows_ = content.select("content_id", "body", F.length("body").alias("n"), F.xxhash64("body").alias("h"), "run_id", F.coalesce(norm_locale(F.col("locale")), F.lit("")).alias("lang"))
     pick = ["n", "h", "run_id", "lang"]
     # lengths and sources first, without the bodies: these are shuffled once only, on their key
-    slim = cut(rows_.groupBy("content_id").agg(F.max(F.struct(*pick)).alias("x")).select("content_id", "x.*").join(src.hint("merge"), "run_id", "left").select("content_id", "source", "n"))
+    slim = cut(rows_.groupBy("content_id").agg(F.max(F.struct(*pick)).alias("x")).select("content_id", "x.*").join(src.hint("merge"), "run_id", "left").select("content_id", "source", "n", "h"))
     n_all = slim.count()
     if n_all == 0:
         return spark.createDataFrame([], "content_id bigint, source_file string, score double, cut boolean")
@@ -148,7 +151,7 @@ def score_truncation(content: DataFrame, reports: DataFrame, sample: int = SAMPL
         labels.append(0.0)
         if short := _cuts(body, rng):
             limit = rng.random() < 0.5
-            rows.append(hashed(features(short, lang, float(rng.choice([0.05, 0.15, 0.3])) if limit else 0.0, limit)))
+            rows.append(hashed(features(short, lang, float(rng.uniform(0.02, 0.4)) if limit else 0.0, limit)))
             labels.append(1.0)
     # a few intact texts may have a limit's length too
     for body, lang in zip(pdf["body"].head(len(pdf) // 20), pdf["lang"]):

@@ -1,5 +1,9 @@
 """All similar pairs of set-valued records by pigeonhole partitioning.
 
+First, with single values as the parts: of two sets similar at t, the n - ceil(t n) + 1 rarest values of each hold one of the
+other's. Sets meet on these prefixes, on every value that few prefixes hold. A pair whose prefixes share only crowded
+values has a crowded one in both prefixes, and only such sets meet by segments:
+
 Two sets of sizes a <= b with intersection / union >= t differ in at most
 H = (1-t)/(1+t)(a+b) values. Sizes fall into groups that grow by a factor, so that a set has few
 partner groups and its signatures grow with its size; for a pair of groups the value universe is
@@ -19,6 +23,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from ..functions.address import canon_propp, canon_tmi
 from ..session import cut
@@ -34,7 +39,8 @@ def n_segments(apart: int) -> int:
     return max(1, apart // 2 + 1) if apart < 2 else apart // 2 + 2
 
 
-HOT, FREQUENT, SELDOM = 65_536, 8, (1, 1)  # signatures with counts that every task holds, from which count on, and what the others count as
+HOT, FREQUENT, SELDOM = 65_536, 8, (1, 1)  # values and signatures with counts that every task holds, from which count on, and what the others count as
+CROWD = 4_096  # prefixes on one value beyond which its sets meet by segments instead, so that meetings grow as the sets do
 GROWTH = 1.15  # by which the sizes of a group may differ
 
 
@@ -153,21 +159,72 @@ def choose(apart: int, cost0: list[float], cost1: list[float]) -> list[int]:
 def similar_pairs(sets: DataFrame, threshold: float = 0.6) -> DataFrame:
     """(rep_a, rep_b, similarity): pairs of different sets with intersection / union >= threshold.
 
-    ``sets``: rep (bigint, unique), codes (sorted array of distinct strings, not empty)."""
+    ``sets``: rep (bigint, unique), codes (sorted array of distinct strings, not empty), read several times: a table or a cut."""
     hashes = F.array_sort(F.transform("codes", lambda c: F.xxhash64(c)))
-    base = cut(sets.select("rep", "codes", F.size("codes").alias("n"), hashes.alias("hs")))
+    base = sets.select("rep", "codes", F.size("codes").alias("n"))
+    cand = _candidates(sets.select("rep", hashes.alias("hs")), threshold)
+    a, b = (base.select(F.col("rep").alias(f"rep_{x}"), F.col("codes").alias(f"c_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+    both = F.size(F.array_intersect("c_a", "c_b"))  # the codes themselves, not their hashes
+    sim = both / (F.col("n_a") + F.col("n_b") - both)
+    return cand.join(a, "rep_a").join(b, "rep_b").select("rep_a", "rep_b", sim.alias("similarity")).filter(F.col("similarity") >= threshold)
+
+
+def prefix(values: list[int], t: float, often: dict[int, int]) -> list[int]:
+    """The rarest values of a set, of which a similar set's rarest hold one; ``often``: counts of the frequent values.
+
+    Any order of the values would do, as long as it is the same for all sets."""
+    return sorted(values, key=lambda v: (often.get(v, 0), v))[: len(values) - int(np.ceil(t * len(values) - 1e-9)) + 1]
+
+
+def _candidates(slim: DataFrame, threshold: float) -> DataFrame:
+    """(rep_a, rep_b), each once: pairs of the sets (rep, hs: value hashes) among which are all similar ones."""
+    freq = slim.select(F.explode("hs").alias("v")).groupBy("v").agg(F.count("*").alias("k")).filter(F.col("k") > FREQUENT)
+    hot = freq.orderBy(F.desc("k"), "v").limit(HOT).collect()
+    often = slim.sparkSession.sparkContext.broadcast({r["v"]: r["k"] for r in hot})
+    crowd = CROWD
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for r, hs in zip(pdf["rep"], pdf["hs"]):
+                hs = [int(x) for x in hs]
+                bits = 0
+                for v in hs:
+                    bits |= 1 << (v & 63)
+                bits -= (bits >> 63) << 64
+                rows += [(v, r, len(hs), bits, often.value.get(v, 0) > crowd) for v in prefix(hs, threshold, often.value)]
+            yield pd.DataFrame(rows, columns=["v", "rep", "n", "bits", "big"])
+
+    pre = cut(slim.mapInPandas(run, "v bigint, rep bigint, n int, bits bigint, big boolean"))
+    # only frequent values can be crowded in prefixes; there are HOT of them at most
+    crowded = [r["v"] for r in pre.filter("big").groupBy("v").agg(F.count("*").alias("k")).filter(F.col("k") > crowd).select("v").collect()]
+    held = F.broadcast(slim.sparkSession.createDataFrame([(v,) for v in crowded], "v bigint"))
+    few = (pre.join(held, "v", "left_anti") if crowded else pre).select("v", "rep", "n", "bits")
+    other = few.select("v", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "bits")])
+    total = F.col("n") + F.col("n_b")
+    apart = total - 2 * F.ceil(threshold / (1 + threshold) * total - 1e-9)
+    # a value that only one of two sets has may leave a bit that only one has, never more than one
+    near = few.join(other.hint("merge"), "v").filter((F.col("rep") < F.col("rep_b")) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_b"))) <= apart))
+    cand = near.select(F.col("rep").alias("rep_a"), F.col("rep_b"))
+    if crowded:
+        dense = pre.join(held, "v", "left_semi").select("rep").distinct()
+        cand = cand.unionByName(_by_segments(cut(slim.join(dense, "rep", "left_semi")), threshold))
+    return cand.distinct()
+
+
+def _by_segments(slim: DataFrame, threshold: float) -> DataFrame:
+    """(rep_a, rep_b): candidates among the sets (rep, hs), by signatures of segments."""
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = [(r, s, k) for r, hs in zip(pdf["rep"], pdf["hs"]) for s, k in index_signatures([int(x) for x in hs], threshold)]
             yield pd.DataFrame(rows, columns=["rep", "sig", "kind"])
 
-    slim = base.select("rep", "hs")
     idx = cut(slim.mapInPandas(index, "rep bigint, sig bigint, kind int"))
     # what a signature costs is what it meets; only the frequent ones matter, and their number is bounded
     freq = idx.groupBy("sig").agg(F.count_if(F.col("kind") == 0).alias("f0"), F.count_if(F.col("kind") == 1).alias("f1")).filter(F.col("f0") + F.col("f1") > FREQUENT)
     hot = freq.orderBy(F.desc(F.col("f0") + F.col("f1")), "sig").limit(HOT).collect()
-    often = base.sparkSession.sparkContext.broadcast({r["sig"]: (r["f0"], r["f1"]) for r in hot})
+    often = slim.sparkSession.sparkContext.broadcast({r["sig"]: (r["f0"], r["f1"]) for r in hot})
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -177,16 +234,11 @@ def similar_pairs(sets: DataFrame, threshold: float = 0.6) -> DataFrame:
     chosen = slim.mapInPandas(probe, "rep bigint, sig bigint, pk int, pick int")
     i = idx.select(F.col("rep").alias("other"), "sig", F.col("kind").alias("ik"))
     # equal: whole on whole; one difference: also a deletion on a whole, and both deleted
-    cand = (
+    return (
         chosen.join(i.hint("merge"), "sig")
         .filter((F.col("rep") != F.col("other")) & (F.col("ik") <= F.col("pick")))
         .select(F.least("rep", "other").alias("rep_a"), F.greatest("rep", "other").alias("rep_b"))
-        .distinct()
     )
-    a, b = (base.select(F.col("rep").alias(f"rep_{x}"), F.col("codes").alias(f"c_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-    both = F.size(F.array_intersect("c_a", "c_b"))  # the codes themselves, not their hashes
-    sim = both / (F.col("n_a") + F.col("n_b") - both)
-    return cand.join(a, "rep_a").join(b, "rep_b").select("rep_a", "rep_b", sim.alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
 def canonical_sets(records: DataFrame, key: str = "feature_id") -> DataFrame:
@@ -198,8 +250,7 @@ def canonical_sets(records: DataFrame, key: str = "feature_id") -> DataFrame:
 
 def classes(sets: DataFrame) -> DataFrame:
     """(id, rep, codes): equal sets share the least id as representative."""
-    sig = sets.groupBy("codes").agg(F.min("id").alias("rep"))
-    return sets.join(sig, "codes").select("id", "rep", "codes")
+    return sets.select("id", F.min("id").over(W.partitionBy("codes")).alias("rep"), "codes")
 
 
 def similar_records(records: DataFrame, threshold: float = 0.6) -> DataFrame:

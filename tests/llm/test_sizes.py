@@ -1,10 +1,13 @@
 """What must hold for corpora of any size."""
 
+import os
 import random
 
+import pytest
 from test_texts import REP, content, english  # noqa: F401
 
-from corpusloom.llm import ocr, truncation
+from corpusloom.llm import ocr, set_join, truncation
+from corpusloom.session import checkpoint_dir
 
 
 def test_three_dots_at_a_limit_are_cuts(spark, english):  # noqa: F811
@@ -38,3 +41,34 @@ def test_lines_that_recur_by_chance_are_no_headers(spark, english, monkeypatch):
     pages = [(1000 + i, "n", "en", "translated", ("THE LAYS OF KINGS\n" if i % 4 == 0 else "") + page(i), None, "scan") for i in range(400)]
     got = {r["content_id"] for r in ocr.defects(ocr.clean_pages(content(spark, clean + pages), rep)).collect() if r["defect"] == "header"}
     assert got == {1000 + i for i in range(0, 400, 4)}
+
+
+FEAT = "feature_id bigint, tmi_codes array<string>, propp_codes array<string>"
+
+
+def _near_copies(n, size=8, seed=6):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        if i % 3:
+            base = set(rows[i - i % 3][1]) ^ {f"TMI-A{rnd.randrange(9 * n)}"}
+        else:
+            base = {f"TMI-A{rnd.randrange(9 * n)}" for _ in range(size)} if i % 2 else {f"TMI-B{rnd.randrange(12)}" for _ in range(6)}
+        rows.append((i, sorted(base), []))
+    return rows
+
+
+def test_sets_take_little_scratch(spark):
+    used = lambda: sum(os.path.getsize(os.path.join(at, f)) for at, _, fs in os.walk(checkpoint_dir(spark).removeprefix("file:")) for f in fs)
+    before = used()
+    assert set_join.similar_records(spark.createDataFrame(_near_copies(1500, 20), FEAT)).count() > 1000
+    assert used() - before < 300_000
+
+
+@pytest.mark.parametrize("crowd", [3, 4096])
+def test_crowded_values_lose_no_pair(spark, monkeypatch, crowd):
+    monkeypatch.setattr(set_join, "CROWD", crowd, raising=False)
+    rows = _near_copies(300)
+    got = [(r[0], r[1]) for r in set_join.similar_records(spark.createDataFrame(rows, FEAT)).collect()]
+    want = {(a, b) for a, x, _ in rows for b, y, _ in rows if a < b and len({*x} & {*y}) >= 0.6 * len({*x} | {*y})}
+    assert set(got) == want and len(got) == len(set(got)) and len(want) > 350

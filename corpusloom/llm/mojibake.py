@@ -26,6 +26,7 @@ LEGACY = [
     ("cp437", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp1252", "cp437"), ("cp850", "cp1252"), ("cp1252", "cp850"),
     ("cp1251", "cp1252"), ("cp1252", "cp874"), ("cp1251", "mac_cyrillic"), ("mac_cyrillic", "cp1251"),
 ]
+KNOWN = 50_000  # judged stretches that a task remembers; a longer list is begun anew, with the same result
 SLOTS = 1 << 20  # least size of the bigram table; it grows with the distinct pairs
 
 
@@ -150,6 +151,8 @@ class Bigrams:
         self.slots = len(pairs)
         self.pair = np.log2(pairs + 0.02).astype(np.float32)
         self.first = np.log2(firsts + 4.0).astype(np.float32)
+        self._pair, self._first = memoryview(self.pair), memoryview(self.first)
+        self.known: dict[tuple[str, str, str, str], tuple[str, float]] = {}  # stretches judged before, which recur over texts
 
     def each(self, u: np.ndarray) -> np.ndarray:
         """Bits of every character after the first."""
@@ -164,15 +167,20 @@ class Bigrams:
         return np.flatnonzero(unlikely & ((u[:-1] > 127) | (u[1:] > 127)))
 
     def bits(self, text: str) -> float:
+        if len(text) < 24:  # as ``each``, without arrays
+            u = [*map(ord, text)]
+            pair, first, low = self._pair, self._first, self.slots - 1
+            return sum([first[a & 0xFFFF] - pair[((a * 2654435761) ^ (b * 40503)) & low] for a, b in zip(u, u[1:])])
         return float(self.each(_points(text)).sum())
 
 
-def undo_utf8(text: str, model: Bigrams) -> tuple[float, str, str] | None:
+def undo_utf8(text: str, model: Bigrams, odd: np.ndarray | None = None) -> tuple[float, str, str] | None:
     """One layer of UTF-8 read in another encoding, wholly or in stretches: (bits saved, text, layer).
 
-    A stretch is taken if its characters get less rare and the text around it more likely."""
+    A stretch is taken if its characters get less rare and the text around it more likely. ``odd``: the odd places of
+    the text between two spaces, if they are known."""
     padded = f" {text} "
-    odd = model.odd(_points(padded))
+    odd = model.odd(_points(padded)) if odd is None else odd
     if not len(odd):
         return None
     seen = {c for i in odd.tolist() for c in padded[i : i + 2] if c > "\x7f"}
@@ -195,12 +203,12 @@ def undo_utf8(text: str, model: Bigrams) -> tuple[float, str, str] | None:
                 if best is None or got > best[0]:
                     best = got, new, f"utf-8 as {enc}"
                 continue
-        known: dict[tuple[str, str, str], tuple[str, float]] = {}
+        known = model.known
         saved = [0.0]
 
-        def turn(m: re.Match) -> str:
+        def turn(m: re.Match, enc: str = enc, text: str = text, known: dict = known, saved: list = saved) -> str:
             s, l, r = m.group(0), text[m.start() - 1 : m.start()] or " ", text[m.end() : m.end() + 1] or " "
-            got = known.get((s, l, r))
+            got = known.get((enc, s, l, r))
             if got is None:
                 d, gain = s, 0.0
                 try:
@@ -214,7 +222,11 @@ def undo_utf8(text: str, model: Bigrams) -> tuple[float, str, str] | None:
                     gain = model.bits(l + s + r) - model.bits(l + d + r)
                     if cost > min(4.5 * len(d), rarity(s) * 0.8) or gain < 4:
                         d, gain = s, 0.0
-                got = known[s, l, r] = d, gain
+                if len(known) > KNOWN:
+                    known.clear()
+                got = d, gain
+                if len(s) < 64:
+                    known[enc, s, l, r] = got
             saved[0] += got[1]
             return got[0]
 
@@ -253,14 +265,14 @@ _TO, _OK = (np.stack([_SINGLE[x][k] for x in _PAIRS]) for k in (0, 1))
 _RUNS = {r: re.compile("[" + "".join(re.escape(c) for c in _BYTES[r] if c >= " ") + "]{4,}") for r in {r for r, m in LEGACY if m in DOUBLE}}
 
 
-def undo_legacy(text: str, model: Bigrams, least: float) -> tuple[float, str, str] | None:
+def undo_legacy(text: str, model: Bigrams, least: float, odd: np.ndarray | None = None) -> tuple[float, str, str] | None:
     """One legacy encoding read as another, for the pair and run of words whose bits drop most."""
     u = _points(" " + text + " ")
     plane = np.minimum(u, 65535)
-    each = model.each(u)
-    odd = model.odd(u)
+    odd = model.odd(u) if odd is None else odd
     if not len(odd):
         return None
+    each = model.each(u)
     space = _SPACES[plane]
     starts = np.flatnonzero(space[:-1] & ~space[1:])  # the space before each word
     ends = np.flatnonzero(~space[:-1] & space[1:])
@@ -348,7 +360,8 @@ def repair(text: str, model: Bigrams, least: float = 25.0) -> tuple[str, list[st
     some, so there is a last one."""
     layers: list[str] = []
     while True:
-        found = [x for x in (undo_utf8(text, model), undo_legacy(text, model, least)) if x]
+        odd = model.odd(_points(f" {text} "))
+        found = [x for x in (undo_utf8(text, model, odd), undo_legacy(text, model, least, odd)) if x]
         if not found:
             break
         _, text, layer = max(found)

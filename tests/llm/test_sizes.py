@@ -6,7 +6,7 @@ import random
 import pytest
 from test_texts import REP, content, english  # noqa: F401
 
-from corpusloom.llm import ocr, set_join, truncation
+from corpusloom.llm import mojibake, ocr, set_join, truncation
 from corpusloom.session import checkpoint_dir
 
 
@@ -72,3 +72,21 @@ def test_crowded_values_lose_no_pair(spark, monkeypatch, crowd):
     got = [(r[0], r[1]) for r in set_join.similar_records(spark.createDataFrame(rows, FEAT)).collect()]
     want = {(a, b) for a, x, _ in rows for b, y, _ in rows if a < b and len({*x} & {*y}) >= 0.6 * len({*x} | {*y})}
     assert set(got) == want and len(got) == len(set(got)) and len(want) > 350
+
+
+def test_a_stretch_that_recurs_is_judged_once():
+    import numpy as np
+
+    clean = " ".join(["кузнец нашёл печать у брода и спрятал весло"] * 50)
+    u = mojibake._points(clean)
+    pairs, firsts = np.zeros(mojibake.SLOTS), np.bincount(u & 0xFFFF, minlength=65536)
+    np.add.at(pairs, mojibake._slots(u), 1)
+    model = mojibake.Bigrams(pairs, firsts)
+    bad = clean.encode().decode("cp1252", "replace").replace("�", "x") + " " + " ".join(w.encode().decode("latin-1") for w in clean.split())
+    calls = []
+    bits = model.bits
+    model.bits = lambda t: calls.append(t) or bits(t)
+    first = mojibake.undo_utf8(bad, model)
+    n = len(calls)
+    assert mojibake.undo_utf8(bad, model) == first and "кузнец нашёл" in first[1] and len(calls) - n < n / 3
+    assert abs(bits("брода и ve") - float(model.each(mojibake._points("брода и ve")).sum())) < 1e-3

@@ -212,7 +212,7 @@ def _digest(e: DataFrame, most: int = 1_000_000) -> DataFrame:
                 yield from out(t.select(names[:4]).take(pa.array(held)))
             if len(up) > most:
                 up.clear()
-            parts.append(t.select(["member_a", *sums]))
+            parts.append(pa.table({c: t[c] for c in ("member_a", *sums)}))  # with merged sums it has one schema only if no column is marked as without nulls
             rows += len(t)
             if rows > most:
                 parts = [merged()]

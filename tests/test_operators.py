@@ -1,4 +1,5 @@
 import datetime as dt
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,21 @@ def test_digest_keeps_sums_and_connections(spark):
     assert len(kept) == 39 and {n for r in kept for n in (r["member_a"], r["member_b"])} == {f"n{i}" for i in range(40)}
 
 
+@pytest.fixture
+def often_merged(spark, monkeypatch):
+    """Tasks of several batches that merge their sums, and go on after it, as on large tables."""
+    monkeypatch.setattr(C, "_digest", partial(C._digest, most=120))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    rows = [(f"n{i:02}", "ab"[i % 2], ["TMI-A1"], ["PROPP-1"], "R", 0.5, None) for i in range(40)]
+    yield C.edges(C.features(spark.createDataFrame(rows, FEAT), None)).coalesce(1)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_candidates_of_many_batches(often_merged):
+    (c,) = C.candidates(often_merged).collect()
+    assert (c["n_edges"], c["n_members"], c["tradition_count"], c["dimensional_agreement"], c["primary_dimension"]) == (400, 40, 2, "very_high", "tmi_jaccard_leaf")
+
+
 def test_components_against_brute_force(spark):
     import random
 

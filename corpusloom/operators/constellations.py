@@ -54,6 +54,12 @@ def features(df: DataFrame, stop_share: float | None = 0.3) -> DataFrame:
     return f.withColumn("branch", level(tmi_branch)).withColumn("root", level(tmi_root))
 
 
+def _near(a: Column, b: Column, delta: float) -> Column:
+    """Whether the difference, rounded to four digits, is under ``delta``; rounded only where that matters, for it costs more than all else."""
+    d = F.abs(a - b)
+    return F.coalesce((d < delta - 1e-4) | ((d < delta + 1e-4) & (F.bround(d, 4) < delta)), F.lit(False))
+
+
 def _score(p: DataFrame, leaf: float, branch: float, propp: float, least: int, delta: float, keep: tuple[str, ...] = ()) -> DataFrame:
     a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
     levels = ("leaf", "branch", "root", "propp")
@@ -62,7 +68,7 @@ def _score(p: DataFrame, leaf: float, branch: float, propp: float, least: int, d
         a("nas").alias("member_a"), b("nas").alias("member_b"), a("tradition").alias("tradition_a"), b("tradition").alias("tradition_b"),
         *(F.size(F.array_intersect(a(c), b(c))).alias(f"n_{c}") for c in levels), *(F.size(x(c)).alias(f"n{n}_{c}") for c in levels for n, x in (("a", a), ("b", b))),
         F.coalesce(a("chronotope_type") == b("chronotope_type"), F.lit(False)).alias("chronotope_match"),
-        (a("polyphony").isNotNull() & b("polyphony").isNotNull()).alias("bakhtin_profile_available"),
+        (a("polyphony").isNotNull() & b("polyphony").isNotNull()).alias("bakhtin_profile_available"), _near(a("polyphony"), b("polyphony"), delta).alias("_near"),
         F.bround(F.abs(a("polyphony") - b("polyphony")), 4).alias("bakhtin_polyphony_delta"),
         F.bround(F.abs(a("carnivalesque") - b("carnivalesque")), 4).alias("bakhtin_carnivalesque_delta"),
         *(x(c).alias(f"{c}_{n}") for c in keep for n, x in (("a", a), ("b", b))), F.monotonically_increasing_id().alias("_row"),
@@ -72,11 +78,11 @@ def _score(p: DataFrame, leaf: float, branch: float, propp: float, least: int, d
     s = s.select("*", *(share(c, na(c) + nb(c) - both(c)).alias(f"tmi_jaccard_{c}") for c in levels[:3]), share("propp", F.greatest(na("propp"), nb("propp"))).alias("propp_overlap"))
     dims = [
         (F.col("tmi_jaccard_leaf") >= leaf) | (F.col("tmi_jaccard_branch") >= branch), F.col("propp_overlap") > propp, F.col("chronotope_match"),
-        F.coalesce(F.col("bakhtin_polyphony_delta") < delta, F.lit(False)),
+        F.col("_near"),
     ]
     s = s.withColumn("qualifying_dimensions", reduce(Column.__add__, [d.cast("int") for d in dims])).filter((F.col("_row") >= 0) & (F.col("qualifying_dimensions") >= least))
     for c in ("tmi_jaccard_leaf", "tmi_jaccard_branch", "tmi_jaccard_root", "propp_overlap"):
-        s = s.withColumn(c, F.bround(c, 4))
+        s = s.withColumn(c, F.when((F.col(c) == 0) | (F.col(c) == 1), F.col(c)).otherwise(F.bround(c, 4)))
     return s.select(*EDGE, *(f"{c}_{n}" for c in keep for n in "ab"))
 
 
@@ -103,28 +109,31 @@ def _numbered(f: DataFrame) -> DataFrame:
 
 def edges(f: DataFrame, leaf: float = 0.1, branch: float = 0.25, propp: float = 0.0, least: int = 3, delta: float = 0.15, keep: tuple[str, ...] = ()) -> DataFrame:
     """Edges without pairing all: an edge agrees in ``least`` of the four dimensions, and each has a key on which two
-    fragments that agree in it meet: motif branch (t), function code (p), chronotope (c), polyphony band (b). Of the first
-    6 - ``least`` keys an edge has two, so fragments meet in equi-joins on every two of them.
+    fragments that agree in it meet: motif branch (t), function code (p), chronotope (c), polyphony band (b). Of three
+    dimensions an edge has three keys, so fragments meet in equi-joins on every three of the four (of fewer, on as many).
 
-    A pair is scored where it meets, and only there: in the join on the first two keys that it has, at the least branch and
+    A pair is scored where it meets, and only there: in the join on the first three keys that it has, at the least branch and
     function that it shares. So no pair is shuffled or compared with others. Polyphony bands are ``delta`` wide and meet
-    their neighbours, so any numbers are covered. member_a is of the tradition that comes first. With thresholds that let
+    their neighbours (those that occur), so any numbers are covered. member_a is of the tradition that comes first. With thresholds that let
     empty sets qualify no key blocks and ``edges_theta`` is used. ``keep``: columns of both ends to add, as name_a and name_b."""
     if least < 1 or leaf <= 0 or branch <= 0 or propp < 0:
         return edges_theta(f, leaf, branch, propp, least, delta, keep=keep)
     # a shared code means a shared branch, but for codes that have none
-    base = _numbered(f).withColumns({"key_t": F.concat("branch", "odd"), "key_p": F.col("propp"), "key_c": F.col("chronotope_type"), "key_b": F.floor(F.col("polyphony") / delta).cast("int")}).drop("odd")
-    near = F.bround(F.abs(F.col("a.polyphony") - F.col("b.polyphony")), 4) < delta
-    has = {"t": F.arrays_overlap("a.key_t", "b.key_t"), "p": F.arrays_overlap("a.key_p", "b.key_p"), "c": F.coalesce(F.col("a.key_c") == F.col("b.key_c"), F.lit(False)), "b": F.coalesce(near, F.lit(False))}
-    width = min(least, 2)
+    base = _numbered(f).withColumns({"key_t": F.concat("branch", "odd"), "key_b": F.floor(F.col("polyphony") / delta).cast("int")}).drop("odd")
+    key = {"t": "key_t", "p": "propp", "c": "chronotope_type", "b": "key_b"}
+    bands = [r[0] for r in base.select("key_b").distinct().limit(1001).collect()]
+    near_bands = F.array(*(F.col("key_b") + i for i in (-1, 0, 1)))
+    if len(bands) < 1001:  # else a band that does not occur just meets none
+        near_bands = F.filter(near_bands, lambda x: x.isin([x for x in bands if x is not None]))
+    has = {"t": F.arrays_overlap("a.key_t", "b.key_t"), "p": F.arrays_overlap("a.propp", "b.propp"), "c": F.coalesce(F.col("a.chronotope_type") == F.col("b.chronotope_type"), F.lit(False)), "b": _near(F.col("a.polyphony"), F.col("b.polyphony"), delta)}
+    width = min(least, 3)
     found, first = [], "tpcb"[: 4 - min(least, 4) + width]
     for keys in combinations(first, width):
 
         def side(n: str, keys=keys) -> DataFrame:
             x = base
             for k in keys:
-                key = F.col(f"key_{k}")
-                one = F.explode(key) if k in "tp" else F.explode(F.array(key - 1, key, key + 1)) if k == "b" and n == "a" else key
+                one = F.explode(key[k]) if k in "tp" else F.explode(near_bands) if k == "b" and n == "a" else F.col(key[k])
                 x = x.withColumn(f"on_{k}", one)
             return x.dropna(subset=[f"on_{k}" for k in keys]).alias(n)
 
@@ -136,7 +145,7 @@ def edges(f: DataFrame, leaf: float = 0.1, branch: float = 0.25, propp: float =
             where.append(reduce(Column.__add__, rest) >= least - width)
         where += [has["b"]] if "b" in keys else []
         where += [~has[k] for k in lacks]
-        where += [F.col(f"a.on_{k}") == F.array_min(F.array_intersect(f"a.key_{k}", f"b.key_{k}")) for k in keys if k in "tp"]
+        where += [F.col(f"a.on_{k}") == F.array_min(F.array_intersect(f"a.{key[k]}", f"b.{key[k]}")) for k in keys if k in "tp"]
         met = side("a").join(side("b"), reduce(Column.__and__, [F.col(f"a.on_{k}") == F.col(f"b.on_{k}") for k in keys]))
         found.append(_score(met.filter(reduce(Column.__and__, where)), leaf, branch, propp, least, delta, keep))
     return reduce(DataFrame.unionByName, found)

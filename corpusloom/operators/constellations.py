@@ -54,12 +54,6 @@ def features(df: DataFrame, stop_share: float | None = 0.3) -> DataFrame:
     return f.withColumn("branch", level(tmi_branch)).withColumn("root", level(tmi_root))
 
 
-def _near(a: Column, b: Column, delta: float) -> Column:
-    """Whether the difference, rounded to four digits, is under ``delta``; rounded only where that matters, for it costs more than all else."""
-    d = F.abs(a - b)
-    return F.coalesce((d < delta - 1e-4) | ((d < delta + 1e-4) & (F.bround(d, 4) < delta)), F.lit(False))
-
-
 def _score(p: DataFrame, leaf: float, branch: float, propp: float, least: int, delta: float, keep: tuple[str, ...] = ()) -> DataFrame:
     a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
     levels = ("leaf", "branch", "root", "propp")
@@ -68,7 +62,7 @@ def _score(p: DataFrame, leaf: float, branch: float, propp: float, least: int, d
         a("nas").alias("member_a"), b("nas").alias("member_b"), a("tradition").alias("tradition_a"), b("tradition").alias("tradition_b"),
         *(F.size(F.array_intersect(a(c), b(c))).alias(f"n_{c}") for c in levels), *(F.size(x(c)).alias(f"n{n}_{c}") for c in levels for n, x in (("a", a), ("b", b))),
         F.coalesce(a("chronotope_type") == b("chronotope_type"), F.lit(False)).alias("chronotope_match"),
-        (a("polyphony").isNotNull() & b("polyphony").isNotNull()).alias("bakhtin_profile_available"), _near(a("polyphony"), b("polyphony"), delta).alias("_near"),
+        (a("polyphony").isNotNull() & b("polyphony").isNotNull()).alias("bakhtin_profile_available"),
         F.bround(F.abs(a("polyphony") - b("polyphony")), 4).alias("bakhtin_polyphony_delta"),
         F.bround(F.abs(a("carnivalesque") - b("carnivalesque")), 4).alias("bakhtin_carnivalesque_delta"),
         *(x(c).alias(f"{c}_{n}") for c in keep for n, x in (("a", a), ("b", b))), F.monotonically_increasing_id().alias("_row"),
@@ -78,11 +72,11 @@ def _score(p: DataFrame, leaf: float, branch: float, propp: float, least: int, d
     s = s.select("*", *(share(c, na(c) + nb(c) - both(c)).alias(f"tmi_jaccard_{c}") for c in levels[:3]), share("propp", F.greatest(na("propp"), nb("propp"))).alias("propp_overlap"))
     dims = [
         (F.col("tmi_jaccard_leaf") >= leaf) | (F.col("tmi_jaccard_branch") >= branch), F.col("propp_overlap") > propp, F.col("chronotope_match"),
-        F.col("_near"),
+        F.coalesce(F.col("bakhtin_polyphony_delta") < delta, F.lit(False)),
     ]
     s = s.withColumn("qualifying_dimensions", reduce(Column.__add__, [d.cast("int") for d in dims])).filter((F.col("_row") >= 0) & (F.col("qualifying_dimensions") >= least))
     for c in ("tmi_jaccard_leaf", "tmi_jaccard_branch", "tmi_jaccard_root", "propp_overlap"):
-        s = s.withColumn(c, F.when((F.col(c) == 0) | (F.col(c) == 1), F.col(c)).otherwise(F.bround(c, 4)))
+        s = s.withColumn(c, F.bround(c, 4))
     return s.select(*EDGE, *(f"{c}_{n}" for c in keep for n in "ab"))
 
 
@@ -125,7 +119,8 @@ def edges(f: DataFrame, leaf: float = 0.1, branch: float = 0.25, propp: float =
     near_bands = F.array(*(F.col("key_b") + i for i in (-1, 0, 1)))
     if len(bands) < 1001:  # else a band that does not occur just meets none
         near_bands = F.filter(near_bands, lambda x: x.isin([x for x in bands if x is not None]))
-    has = {"t": F.arrays_overlap("a.key_t", "b.key_t"), "p": F.arrays_overlap("a.propp", "b.propp"), "c": F.coalesce(F.col("a.chronotope_type") == F.col("b.chronotope_type"), F.lit(False)), "b": _near(F.col("a.polyphony"), F.col("b.polyphony"), delta)}
+    near = F.bround(F.abs(F.col("a.polyphony") - F.col("b.polyphony")), 4) < delta
+    has = {"t": F.arrays_overlap("a.key_t", "b.key_t"), "p": F.arrays_overlap("a.propp", "b.propp"), "c": F.coalesce(F.col("a.chronotope_type") == F.col("b.chronotope_type"), F.lit(False)), "b": F.coalesce(near, F.lit(False))}
     width = min(least, 3)
     found, first = [], "tpcb"[: 4 - min(least, 4) + width]
     for keys in combinations(first, width):
